@@ -51,17 +51,16 @@ class Store:
         parts = [T.StructField("event_date", T.DateType())] if time else []
         return T.StructType([*schema.fields, *parts, T.StructField("batch_id", T.LongType())]), time
 
-    def _exists(self, name: str) -> bool:
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    def _folder(self, name: str):
+        """The table's folder and its file system."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def create(self) -> None:
-        """Create the tables that do not exist yet."""
+        """Create the folders of the tables that do not exist yet."""
         for name in S.TABLES:
-            if not self._exists(name):
-                schema, time = self._layout(name)
-                empty = self.spark.createDataFrame([], schema)
-                empty.drop("event_date", "batch_id").write.parquet(self.path(name))
+            folder, files = self._folder(name)
+            files.mkdirs(folder)
 
     def read(self, name: str, since=None) -> DataFrame:
         """A table; with ``since`` only rows from then on, pruned by date and pushed to the scan."""
@@ -140,10 +139,8 @@ class Store:
     def purge(self, name: str, as_of, keep: str) -> None:
         """Drop whole date partitions older than ``keep``; metadata work, no row is read."""
         cutoff = self.spark.range(1).select(F.to_date(instant(as_of) - F.expr(f"INTERVAL {keep}")).alias("d")).first().d
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        for status in fs.listStatus(root):
+        folder, files = self._folder(name)
+        for status in files.listStatus(folder):
             label = status.getPath().getName()
             if label.startswith("event_date=") and label.split("=")[1] < cutoff.isoformat():
-                fs.delete(status.getPath(), True)
+                files.delete(status.getPath(), True)
