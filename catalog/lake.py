@@ -42,7 +42,7 @@ class Lake:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return telemetry.raw_events(self.spark, self.sf_dir)
+        return telemetry.raw_events(self.bronze)
 
     @cached_property
     def inspected(self) -> DataFrame:

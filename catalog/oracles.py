@@ -502,3 +502,12 @@ ORACLES: dict[str, str] = {
     "x4_operational_alarms": WITH + PREDICTIONS + _without(BRONZE, DLQ) + f""" SELECT 'dlq_depth' AS alarm, count(*) AS value FROM dlq HAVING count(*) > 100
         UNION ALL SELECT 'stage_silent:' || stage, lag_seconds FROM ({_STAGES}) st WHERE lag_seconds > 90""",
 }
+
+ORACLES |= {
+    "stream_route": WITH + INSPECTED + """ SELECT id, COALESCE(reason, 'ok') AS reason, CASE WHEN reason IS NULL THEN 'accepted'
+        WHEN reason = 'payload_too_large' THEN 'rejected_too_large' ELSE 'rejected_validation' END AS outcome FROM inspected""",
+    "stream_silver": ORACLES["p2_silver_clean"],
+    "stream_gold": ORACLES["w2_gold_sliding"] + " WHERE gold.window_end <= (SELECT max(event_timestamp) - INTERVAL 10 MINUTE FROM silver)",
+    "stream_token_bucket": ORACLES["r1_token_bucket"],
+    "stream_alerts": ORACLES["w6_suppressed_alerts"],
+}

@@ -15,6 +15,9 @@ from odolake.operators import (
     alerting, cleaning, erasure, forest, governance, health, ingest, latest, quantile, rate_limit, validation,
 )
 from odolake.plans import reports
+from odolake.session import staging_path
+from odolake.sources import telemetry
+from odolake.streaming import jobs, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -420,3 +423,49 @@ def x3_k_anonymous_region(t: Lake) -> DataFrame:
 def x4_operational_alarms(t: Lake) -> DataFrame:
     tables = t.tables
     return governance.operational_alarms(t.dlq, reports.stage_health(tables, L.AS_OF, 600))
+
+
+# --- the same operators as streams --------------------------------------------
+
+def _drained(t: Lake, stream: DataFrame, label: str) -> DataFrame:
+    """Run a stream over everything there is into Parquet files of the shared folder."""
+    out, mark = staging_path(t.spark, label), staging_path(t.spark, f"{label}-checkpoint")
+    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark)
+    running = writer.trigger(availableNow=True).start()
+    running.awaitTermination()
+    return t.spark.read.schema(stream.schema).parquet(out)
+
+
+def _live(t: Lake) -> DataFrame:
+    return telemetry.readings(telemetry.event_stream(t.spark, t.sf_dir))
+
+
+@query
+def stream_route(t: Lake) -> DataFrame:
+    checked = validation.inspect(telemetry.raw_events(_live(t))).withColumn("outcome", ingest.outcome())
+    return _drained(t, checked.select("id", "outcome", F.coalesce("reason", F.lit("ok")).alias("reason")), "route")
+
+
+@query
+def stream_silver(t: Lake) -> DataFrame:
+    return _drained(t, cleaning.silver(_live(t), t.vehicles), "silver")
+
+
+@query
+def stream_gold(t: Lake) -> DataFrame:
+    """Windows closed by the watermark, one day behind the newest reading at most."""
+    silver = cleaning.silver(_live(t), t.vehicles)
+    return _drained(t, jobs.gold_stream(silver, L.WINDOW, L.LOOKBACK, L.UNIT_MINUTES, "10 minutes"), "gold")
+
+
+@query
+def stream_token_bucket(t: Lake) -> DataFrame:
+    return _drained(t, stateful.limit_stream(_live(t), refill_per_second=L.REFILL), "limiter")
+
+
+@query
+def stream_alerts(t: Lake) -> DataFrame:
+    path = staging_path(t.spark, "predictions")
+    t.predictions.write.parquet(path)
+    stream = t.spark.readStream.schema(t.predictions.schema).parquet(path)
+    return _drained(t, stateful.alert_stream(stream, 2, L.QUIET_HOURS, 1.2), "alerts")
