@@ -35,6 +35,10 @@ def parse_iso(text: Column) -> Column:
     Takes the extended form (date only, ``Z``, offsets, fractions) and the basic form
     ``20260607T120000``. A text without offset is UTC. Week dates are not accepted.
     """
+    # the common full form needs no rewriting; the others are tried only where it fails
+    full = F.when(
+        text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})?$"), F.try_to_timestamp(text)
+    )
     extended = F.when(
         text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"),
         F.try_to_timestamp(
@@ -53,7 +57,7 @@ def parse_iso(text: Column) -> Column:
         F.when(text.rlike(r"^\d{8}T\d{4}Z?$"), F.try_to_timestamp(stamp, F.lit("yyyyMMddHHmm"))),
         F.when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(stamp, F.lit("yyyyMMdd"))),
     )
-    return F.coalesce(extended, basic)
+    return F.coalesce(full, extended, basic)
 
 
 def lag_seconds(last: Column, as_of: Column) -> Column:

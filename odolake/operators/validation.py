@@ -17,7 +17,7 @@ from odolake.functions.timing import parse_iso, seconds
 
 OVERSIZE = "payload_too_large"
 
-_NUMBER_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|infinity|nan)\s*$"
+_NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|infinity|nan)\s*$"
 _KIND_LABEL = {"string": "str", "boolean": "bool", "double": "float"}
 
 
@@ -31,35 +31,34 @@ def computed_once(df: DataFrame, *columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*columns))))
 
 
-def json_type(shape: Column) -> Column:
-    """Short type name used in reasons (int, str, list, ...) for a variant's schema text."""
+def json_type(text: Column) -> Column:
+    """Short type name used in reasons (int, str, list, ...) for a value's JSON text."""
+    first = F.substring(text, 1, 1)
     return (
-        F.when(shape == "STRING", "str")
-        .when(shape == "BOOLEAN", "bool")
-        .when(shape == "BIGINT", "int")
-        .when(shape.startswith("DECIMAL"), F.when(shape.endswith(",0)"), "int").otherwise("float"))
-        .when(shape.startswith("ARRAY"), "list")
-        .when(shape.startswith("OBJECT"), "dict")
-        .otherwise("float")
+        F.when(first == '"', "str")
+        .when(first.isin("t", "f"), "bool")
+        .when(first == "[", "list")
+        .when(first == "{", "dict")
+        .when(text.rlike("[.eE]"), "float")
+        .otherwise("int")
     )
 
 
 def _typed(rule: S.FieldRule) -> Column:
     """The field's value in its expected type, NULL where it has none."""
-    node, shape = F.col(f"_n_{rule.name}"), F.col(f"_t_{rule.name}")
+    text = F.col(f"_t_{rule.name}")
     if rule.kind == "string":
-        return F.when(shape == "STRING", F.trim(F.try_variant_get(node, "$", "string")))
+        return F.trim(F.col(f"_s_{rule.name}"))
     if rule.kind == "boolean":
-        return F.when(shape == "BOOLEAN", F.try_variant_get(node, "$", "boolean"))
-    number = F.try_variant_get(node, "$", "double")
-    text = F.try_variant_get(node, "$", "string")
-    spelled = (shape != "STRING") | text.rlike("(?i)" + _NUMBER_TEXT)
-    return F.when(spelled, F.nullif(number, F.lit(float("nan"))))
+        return F.when(text == "true", F.lit(True)).when(text == "false", F.lit(False))
+    bare = F.btrim(text, F.lit('"'))
+    number = F.when(bare.rlike(_NUMBER_TEXT), F.nullif(bare.try_cast("double"), F.lit(float("nan"))))
+    return F.coalesce(number, F.when(text == "true", 1.0), F.when(text == "false", 0.0))
 
 
 def _field_reason(rule: S.FieldRule) -> Column:
-    shape, value = F.col(f"_t_{rule.name}"), F.col(f"_v_{rule.name}")
-    absent = shape.isNull() | (shape == "VOID")
+    text, value = F.col(f"_t_{rule.name}"), F.col(f"_v_{rule.name}")
+    absent = text.isNull() | (text == "null")
     checks = []
     if rule.required:
         checks.append(F.when(absent, f"missing_field:{rule.name}"))
@@ -67,7 +66,7 @@ def _field_reason(rule: S.FieldRule) -> Column:
     if rule.kind == "double":
         untyped = F.lit(f"invalid_type:{rule.name}:cannot_coerce_to_{label}")
     else:
-        untyped = F.concat(F.lit(f"invalid_type:{rule.name}:expected_{label}:got_"), json_type(shape))
+        untyped = F.concat(F.lit(f"invalid_type:{rule.name}:expected_{label}:got_"), json_type(text))
     checks.append(F.when(~absent & value.isNull(), untyped))
     shown = value.cast("string")
     if rule.low is not None:
@@ -110,25 +109,30 @@ def inspect(
     parsed = computed_once(
         events, F.when((size > 0) & (size <= max_bytes), F.try_parse_json(body)).alias("_doc")
     )
-    nodes = computed_once(
-        parsed, F.schema_of_variant("_doc").alias("_shape"),
-        *[F.try_variant_get(F.col("_doc"), f"$.{r.name}", "variant").alias(f"_n_{r.name}") for r in rules],
+    # each field as JSON text: its first character tells the type, and a number is read
+    # from it by a plain cast
+    texts = computed_once(
+        parsed,
+        *[F.to_json(F.try_variant_get(F.col("_doc"), f"$.{r.name}", "variant")).alias(f"_t_{r.name}") for r in rules],
     )
-    shapes = computed_once(nodes, *[F.schema_of_variant(f"_n_{r.name}").alias(f"_t_{r.name}") for r in rules])
+    strings = [
+        F.when(F.col(f"_t_{r.name}").startswith('"'), F.try_variant_get(F.col("_doc"), f"$.{r.name}", "string"))
+        .alias(f"_s_{r.name}")
+        for r in rules if r.kind == "string"
+    ]
+    decoded = computed_once(texts, *strings)
     values = computed_once(
-        shapes, *[_typed(r).alias(f"_v_{r.name}") for r in rules],
-        F.try_variant_get(F.col(f"_n_{key}"), "$", "string").alias("_sent_key"),
+        decoded, *[_typed(r).alias(f"_v_{r.name}") for r in rules],
+        parse_iso(F.trim(F.col(f"_s_{time_field}"))).alias("_when"),
     )
-    timed = computed_once(values, parse_iso(F.col(f"_v_{time_field}")).alias("_when"))
 
-    is_object = F.col("_shape").startswith("OBJECT")
+    sent_key = F.col(f"_s_{key}")
     entry = F.coalesce(
         F.when(size > max_bytes, OVERSIZE),
         F.when(body.isNull() | (size == 0), "empty_body"),
         F.when(F.col("_doc").isNull(), "invalid_json"),
-        F.when(~is_object, "invalid_format:payload_must_be_json_object"),
-        F.when(F.coalesce(F.col(f"_t_{key}") != "STRING", F.lit(True)) | (F.col("_sent_key") == ""),
-               f"missing_field:{key}"),
+        F.when(~body.rlike(r"^\s*\{"), "invalid_format:payload_must_be_json_object"),
+        F.when(sent_key.isNull() | (sent_key == ""), f"missing_field:{key}"),
     )
     stamp, ident = F.col(f"_v_{time_field}"), F.col(f"_v_{key}")
     after = [_field_reason(r) for r in rules] + [
@@ -139,13 +143,13 @@ def inspect(
         F.when(~ident.rlike(key_pattern),
                F.concat(F.lit(f"invalid_{key}:"), ident, F.lit(f":must_match_{key_hint}"))),
     ]
-    flagged = computed_once(timed, entry.alias("entry_reason"))
+    flagged = computed_once(values, entry.alias("entry_reason"))
     fields = [
         (F.col("_when") if r.name == time_field else F.col(f"_v_{r.name}")).alias(r.name) for r in rules
     ]
     return flagged.select(
         *kept, *fields, "entry_reason",
-        F.when(F.col("entry_reason").isNull(), F.col("_sent_key")).alias("limiter_key"),
+        F.when(F.col("entry_reason").isNull(), sent_key).alias("limiter_key"),
         F.coalesce(F.col("entry_reason"), *after).alias("reason"),
     )
 

@@ -65,17 +65,17 @@ def alert_batch(store: Store, batch_id: int, as_of, **rules) -> DataFrame:
 
 
 def run_cycle(store: Store, batch_id: int, as_of, seed: int = 42, shadow_seed: int = 99, rows: int = S.BATCH_ROWS,
-              gold: dict | None = None, alert: dict | None = None) -> dict:
+              gold: dict | None = None, model: dict | None = None, alert: dict | None = None) -> dict:
     """One evaluation cycle. A tripped breaker skips the stages after it."""
     summary = clean_batch(store, batch_id, as_of, rows)
     if summary["circuit_open"]:
         return summary
     aggregate_batch(store, batch_id, as_of, **(gold or {}))
     history = store.read("gold_vehicle_health")
-    live = forest.fit_forest(history, as_of, seed=seed)
+    live = forest.fit_forest(history, as_of, seed=seed, **(model or {}))
     if live is None:
         return summary
-    candidate = forest.fit_forest(history, as_of, seed=shadow_seed)
+    candidate = forest.fit_forest(history, as_of, seed=shadow_seed, **(model or {}))
     scored = score_batch(store, batch_id, as_of, live, candidate)
     raised = alert_batch(store, batch_id, as_of, **(alert or {}))
     return summary | {

@@ -70,7 +70,7 @@ def test_injected_fault_alerts_within_three_cycles_and_erasure(spark, store):
         arrived = bronze.where((F.col("event_timestamp") <= F.lit(now)) & (F.col("event_timestamp") > F.lit(
             now - timedelta(seconds=30 if n else 400))))
         store.write_batch("bronze_telemetry", arrived, n)
-        summary = cycle.run_cycle(store, n, now)
+        summary = cycle.run_cycle(store, n, now, model={"trees": 30})
         assert not summary["circuit_open"]
         raised.append(summary.get("alerts_raised", 0))
     assert sum(raised) >= 1
