@@ -13,7 +13,7 @@ from math import ceil, log2
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from odolake import schemas as S
@@ -23,6 +23,9 @@ from odolake.session import staged
 
 NODES = "tree INT, node INT, feature INT, threshold DOUBLE, left INT, right INT, size INT, depth INT"
 
+HEADER = "features ARRAY<STRING>, mean ARRAY<DOUBLE>, scale ARRAY<DOUBLE>, sample_size INT, trained_rows BIGINT, " \
+         "offset DOUBLE, version STRING"
+
 
 @dataclass(frozen=True)
 class Forest:
@@ -189,6 +192,27 @@ def fit_forest(
     return replace(forest, offset=exact_quantile(trained, "score", contamination))
 
 
+def save_forest(spark: SparkSession, forest: Forest, path: str, trained_at) -> None:
+    """Append a model to the model tables, keyed by its training time."""
+    header = spark.createDataFrame(
+        [(list(forest.features), list(forest.mean), list(forest.scale), forest.sample_size, forest.trained_rows,
+          forest.offset, forest.version)], HEADER)
+    stamp = instant(trained_at).alias("trained_at")
+    header.select("*", stamp).write.mode("append").parquet(f"{path}/models")
+    spark.createDataFrame(forest.nodes, NODES).select("*", stamp).write.mode("append").parquet(f"{path}/model_nodes")
+
+
+def load_forest(spark: SparkSession, path: str, as_of=None) -> Forest | None:
+    """The model trained last, at ``as_of`` or before."""
+    models = spark.read.parquet(f"{path}/models").where(F.col("trained_at") <= instant(as_of))
+    h = models.orderBy(F.desc("trained_at")).first()
+    if h is None:
+        return None
+    mine = spark.read.parquet(f"{path}/model_nodes").where(F.col("trained_at") == F.lit(h.trained_at))
+    nodes = mine.drop("trained_at").toPandas()  # one forest: trees x (2 x sample size - 1) rows at most
+    return Forest(tuple(h.features), tuple(h.mean), tuple(h.scale), h.sample_size, h.trained_rows, nodes, h.offset, h.version)
+
+
 def score(rows: DataFrame, forest: Forest) -> DataFrame:
     """Add ``anomaly_score`` (negative is anomalous, 4 digits) and ``is_anomaly``; null features count as 0."""
     raw = _score_udf(rows.sparkSession, forest)(_scaled(forest.features, forest.mean, forest.scale))
@@ -201,11 +225,15 @@ def score(rows: DataFrame, forest: Forest) -> DataFrame:
 
 
 def predictions(latest: DataFrame, forest: Forest, mode: str, predicted_at) -> DataFrame:
-    """Rows of the predictions table for the given (newest) health rows."""
+    """Rows of the predictions table for the given (newest) health rows.
+
+    ``predicted_at`` is a moment, or a column of the rows.
+    """
     scored = score(latest, forest)
+    stamp = predicted_at if isinstance(predicted_at, Column) else instant(predicted_at)
     return scored.select(
         "vehicle_id", "window_start", "anomaly_score", "is_anomaly",
         F.lit(forest.version).alias("model_version"), F.lit(mode).alias("mode"),
-        instant(predicted_at).alias("predicted_at"),
+        stamp.alias("predicted_at"),
     )
 

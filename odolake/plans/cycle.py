@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +37,12 @@ def clean_batch(store: Store, batch_id: int, as_of, rows: int = S.BATCH_ROWS,
     return summary
 
 
-def aggregate_batch(store: Store, batch_id: int, as_of, **shape) -> DataFrame:
+def aggregate_batch(store: Store, batch_id: int, as_of: datetime, window_seconds: float = 30,
+                    lookback_seconds: float = 300, unit_minutes: float = 1.0) -> DataFrame:
     """Append the health snapshot at ``as_of``; the scan reads only the look-back's dates."""
-    gold = pinned(health.gold_snapshot(store.read("silver_telemetry"), as_of, **shape))
+    start = as_of - timedelta(seconds=max(lookback_seconds, window_seconds))
+    recent = store.read("silver_telemetry", since=start)
+    gold = pinned(health.gold_snapshot(recent, as_of, window_seconds, lookback_seconds, unit_minutes))
     store.write_batch("gold_vehicle_health", gold, batch_id)
     return gold
 

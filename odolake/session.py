@@ -45,24 +45,38 @@ def local_session(app: str = "odolake", cores: int | str = "*", memory: str = "1
     return configure(spark)
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
     Only a local session may fall back to a temporary folder of this machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or _local_folders.get(context.applicationId)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="odolake-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return named
+        named = _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="odolake-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def staging_root(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{shared_dir(spark)}/odolake/{spark.sparkContext.applicationId}"
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/odolake/{label}-{uuid.uuid4().hex}"
+    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release_staging(spark: SparkSession) -> None:
+    """Delete what this application has staged; frames that still read it are void then."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -12,9 +12,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from odolake import schemas as S
 from odolake.functions.timing import seconds
-from odolake.operators import cleaning, health, ingest, validation
+from odolake.operators import cleaning, forest, health, ingest, validation
+from odolake.operators.alerting import top_features
 from odolake.session import pinned
 from odolake.sources.store import Store, with_batch_ids
+from odolake.streaming.stateful import alert_stream
 
 
 class CircuitOpen(RuntimeError):
@@ -113,3 +115,32 @@ def gold_query(store: Store, checkpoint: str, interval: str | None = "30 seconds
         store.write_batch("gold_vehicle_health", batch, batch_id)
 
     return _start(rows.writeStream.outputMode("append").foreachBatch(write), checkpoint, interval)
+
+
+def predict_query(store: Store, checkpoint: str, live: forest.Forest, candidate: forest.Forest | None = None,
+                  interval: str | None = "30 seconds") -> StreamingQuery:
+    """Score every new health row; a candidate model scores the same rows in shadow mode."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = pinned(batch.where(F.col("vehicle_id") != S.ERASED))
+
+        def mode(model: forest.Forest, name: str) -> DataFrame:
+            # the window's end stands for the cycle, so that a retried batch writes the same rows
+            return forest.predictions(rows, model, name, F.col("window_end"))
+
+        out = mode(live, "production")
+        if candidate is not None:
+            out = out.unionByName(mode(candidate, "shadow"))
+        store.write_batch("predictions", out, batch_id)
+
+    return _start(store.stream("gold_vehicle_health").writeStream.foreachBatch(write), checkpoint, interval)
+
+
+def alert_query(store: Store, checkpoint: str, interval: str | None = "30 seconds", **rules) -> StreamingQuery:
+    """Raise alerts from new production predictions, with the features that stand out most."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        causes = top_features(store.read("gold_vehicle_health"))
+        store.write_batch("alerts", with_batch_ids(batch.join(causes, "vehicle_id", "left"), batch_id), batch_id)
+
+    return _start(alert_stream(store.stream("predictions"), **rules).writeStream.foreachBatch(write), checkpoint, interval)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_validation import changed
 
 from odolake import schemas as S
-from odolake.operators import health, rate_limit
+from odolake.operators import forest, health, rate_limit
 from odolake.operators.alerting import replay_alerts
 from odolake.plans import cycle, reports
 from odolake.sources.store import Store, with_batch_ids
@@ -180,6 +180,35 @@ def test_streamed_limiter_and_alerts_equal_batch(spark, store, tmp_path):
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "o2")).select(columns).collect()} == want
 
 
+def test_streams_score_and_alert(spark, store, tmp_path):
+    """Stored model, new health rows, predictions of both modes, and an alert for the odd vehicle only."""
+    h = [F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / F.lit(1000.0) for i in range(5)]
+    odd = F.when(F.col("id") % 50 == 0, 1.0).otherwise(0.0)
+    start = F.lit(NOW) + F.make_dt_interval(secs=30 * F.floor(F.col("id") / 50))
+    gold = spark.range(200).select(
+        F.format_string("VF-%03d", F.col("id") % 50).alias("vehicle_id"), start.alias("window_start"),
+        (start + F.expr("INTERVAL 30 SECONDS")).alias("window_end"), (start + F.expr("INTERVAL 30 SECONDS")).alias("aggregated_at"),
+        (70 + h[0]).alias("avg_battery_pct"), (350 + h[1]).alias("avg_voltage_v"), (90 + h[2]).alias("avg_current_a"),
+        (45 + h[3] + 40 * odd).alias("avg_motor_temp_c"), (0.4 + h[4] / 10 + odd).alias("rolling_5min_discharge_rate"),
+        F.lit(60.0).alias("avg_speed_kmh"), F.lit(50.0).alias("health_score"), F.lit(1).cast("bigint").alias("record_count"))
+    store.write_batch("gold_vehicle_health", gold, 1)
+    path = str(tmp_path / "models")
+    for seed, at in ((1, ago(days=2)), (42, NOW)):
+        forest.save_forest(spark, forest.fit_forest(gold, NOW, trees=20, seed=seed, contamination=0.02), path, at)
+    live, shadow = forest.load_forest(spark, path, NOW), forest.load_forest(spark, path, ago(days=1))
+    assert forest.load_forest(spark, path, ago(days=3)) is None and live.offset != shadow.offset
+    for start_query in (lambda: jobs.predict_query(store, str(tmp_path / "p"), live, shadow, None),
+                        lambda: jobs.alert_query(store, str(tmp_path / "a"), None)):
+        q = start_query()
+        q.awaitTermination(120)
+        assert q.exception() is None
+    assert {(r.mode, r["count"]) for r in store.read("predictions").groupBy("mode").count().collect()} == {
+        ("production", 200), ("shadow", 200)}
+    alerts = store.read("alerts").collect()
+    assert {r.vehicle_id for r in alerts} == {"VF-000"}
+    assert alerts[0].top_features[0] == "rolling_5min_discharge_rate"
+
+
 def test_reports_on_stored_tables(spark, store):
     store.write_batch("silver_telemetry", silver_rows(spark, [(1, "VF-001", ago(seconds=9), 75.0)]), 1)
     t = {n: store.read(n) for n in S.TABLES}
