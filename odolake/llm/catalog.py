@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odolake.llm import line_dedup, quality_rules
+from odolake.llm import best_fit_packing, line_dedup, quality_rules, token_files
 from odolake.llm.common import table
 from odolake.llm.oracles import ORACLES
 
@@ -23,4 +24,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op5_quality_rules)}
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return best_fit_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_files.read(spark, token_files.write(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op5_quality_rules, op6_best_fit_packing, op10_token_files)}
