@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odolake.llm import best_fit_packing, line_dedup, quality_rules, token_files
+from odolake.llm import best_fit_packing, line_dedup, ngram_join, quality_rules, token_files
 from odolake.llm.common import table
 from odolake.llm.oracles import ORACLES
 
@@ -29,9 +29,14 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "class_id", "n_links", "copy_of", "n_copies")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return token_files.read(spark, token_files.write(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op5_quality_rules, op6_best_fit_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op5_quality_rules, op6_best_fit_packing, op8_ngram_join, op10_token_files)}
