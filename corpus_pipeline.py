@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from odolake.llm import line_dedup, quality_rules
+from odolake.llm import best_fit_packing, decontamination, line_dedup, ngram_join, quality_rules
 from odolake.llm.common import staged, table
 
 ORACLE_SQL = None  # the near-duplicate join and the packing have no SQL; tests compare with brute force
@@ -20,7 +21,25 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeats(docs)
 
 
-STAGES = [("quality_rules", rules), ("line_dedup", lines)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return ngram_join.one_of_each(docs)
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, packed into sequences."""
+    return best_fit_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_rules", rules), ("line_dedup", lines), ("ngram_join", near), ("decontamination", leaks),
+    ("best_fit_packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odolake.llm import best_fit_packing, line_dedup, ngram_join, quality_rules, token_files
+from odolake.llm import best_fit_packing, decontamination, line_dedup, ngram_join, quality_rules, token_files
 from odolake.llm.common import table
 from odolake.llm.oracles import ORACLES
 
@@ -34,9 +34,14 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "n_links", "copy_of", "n_copies")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontamination.contained(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return token_files.read(spark, token_files.write(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op5_quality_rules, op6_best_fit_packing, op8_ngram_join, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op5_quality_rules, op6_best_fit_packing, op8_ngram_join, op9_decontamination, op10_token_files)}
