@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odolake.llm import best_fit_packing, decontamination, line_dedup, ngram_join, quality_rules, token_files
+from odolake.llm import best_fit_packing, decontamination, line_dedup, ngram_join, quality_rules, sharding, token_files
 from odolake.llm.common import table
 from odolake.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned text of every document, with what went and where it stood first."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -44,4 +48,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, token_files.write(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op5_quality_rules, op6_best_fit_packing, op8_ngram_join, op9_decontamination, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_line_dedup, op5_quality_rules, op6_best_fit_packing, op8_ngram_join, op9_decontamination, op10_token_files)}
