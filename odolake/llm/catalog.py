@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odolake.llm import best_fit_packing, decontamination, line_dedup, ngram_join, quality_rules, sharding, token_files
+from odolake.llm import best_fit_packing, decontamination, line_dedup, ngram_join, quality_classifier, quality_rules, sharding, token_files, toxicity
 from odolake.llm.common import table
 from odolake.llm.oracles import ORACLES
 
@@ -24,6 +24,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("sources", lambda x: x.cast("string")), ",").alias("sources"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text")
 
@@ -33,6 +38,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return quality_classifier.score(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "class_id", "n_links", "copy_of", "n_copies")
@@ -48,4 +58,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, token_files.write(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_line_dedup, op5_quality_rules, op6_best_fit_packing, op8_ngram_join, op9_decontamination, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_line_dedup, op3_toxicity, op5_quality_rules, op6_best_fit_packing, op7_quality_classifier, op8_ngram_join, op9_decontamination, op10_token_files)}
