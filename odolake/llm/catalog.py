@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odolake.llm import best_fit_packing, decontamination, line_dedup, ngram_join, quality_classifier, quality_rules, sharding, token_files, toxicity
+from odolake.llm import best_fit_packing, decontamination, html_extraction, line_dedup, ngram_join, quality_classifier, quality_rules, sharding, token_files, toxicity
 from odolake.llm.common import table
 from odolake.llm.oracles import ORACLES
 
@@ -29,6 +29,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text")
 
@@ -58,4 +62,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, token_files.write(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_line_dedup, op3_toxicity, op5_quality_rules, op6_best_fit_packing, op7_quality_classifier, op8_ngram_join, op9_decontamination, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_line_dedup, op3_toxicity, op4_html_extraction, op5_quality_rules, op6_best_fit_packing, op7_quality_classifier, op8_ngram_join, op9_decontamination, op10_token_files)}
