@@ -28,7 +28,7 @@ MAX_ROWS = 20_000  # labelled rows that are learnt from
 MAX_TERMS = 5_000
 MIN_DOCS = 5  # toxic documents that must hold a term
 MIN_EVIDENCE = 30.0  # log-likelihood ratio of a term
-MIN_WEIGHT = 2.0
+MIN_WEIGHT = 1.0
 BEGINNINGS = (4, 5, 6)
 MAX_PHRASES = 5_000
 POWERS = (0.0, 0.25, 0.5, 0.75, 1.0)
