@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from odolake.functions.numeric import round_half_even
 from odolake.operators import alerting, cleaning, health, ingest, rate_limit, validation
 from odolake.session import configure, staged
-from odolake.sources import telemetry
+from catalog import telemetry
 
 # Time parameters stretched to the density of the events (about two per vehicle and day).
 AS_OF = "2024-01-31 00:00:00"

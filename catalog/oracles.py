@@ -23,32 +23,33 @@ EV = """ev AS (
   FROM events)"""
 
 BRONZE = EV + """, bronze AS (
-  SELECT event_id + 1 AS id, printf('VF-%03d', user_id) AS vehicle_id, ts AS event_timestamp,
+  SELECT event_id + 1 AS id,
+    CASE WHEN user_id % 50 = 0 THEN 'VF-U' || user_id ELSE printf('VF-%03d', user_id) END AS vehicle_id, ts AS event_timestamp,
     ts + to_seconds(k) AS received_at, battery AS battery_pct,
-    battery * CAST(0.714 AS DOUBLE) AS state_of_charge_kwh,
-    CAST(320 AS DOUBLE) + CAST(0.6 AS DOUBLE) * battery AS voltage_v,
-    CASE WHEN event_type = 'click' THEN -(CAST(5 AS DOUBLE) + k * CAST(0.45 AS DOUBLE))
-         ELSE CAST(80 AS DOUBLE) + k * CAST(0.6 AS DOUBLE) END AS current_a,
+    battery * CAST(0.5625 AS DOUBLE) AS state_of_charge_kwh,
+    CAST(300 AS DOUBLE) + battery * CAST(0.85 AS DOUBLE) AS voltage_v,
+    CASE WHEN event_type = 'click' THEN -(k * CAST(1.25 AS DOUBLE) + CAST(2 AS DOUBLE))
+         ELSE k * CAST(1.75 AS DOUBLE) + CAST(12.5 AS DOUBLE) END AS current_a,
     CASE WHEN event_type = 'error' AND k = 99 THEN NULL
-         ELSE CAST(30 AS DOUBLE) + k * CAST(0.5 AS DOUBLE)
-              + CASE WHEN user_id % 50 = 1 THEN CAST(25 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END END AS motor_temp_c,
-    CAST(51 AS DOUBLE) + (user_id % 25) / CAST(10 AS DOUBLE) AS latitude,
-    CAST(-2 AS DOUBLE) + k / CAST(100 AS DOUBLE) AS longitude,
-    CAST(20 + event_id % 81 AS DOUBLE) AS speed_kmh,
+         ELSE CAST(24 AS DOUBLE) + k * CAST(0.625 AS DOUBLE)
+              + CASE WHEN user_id % 40 = 7 THEN CAST(20 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END END AS motor_temp_c,
+    CAST(47 AS DOUBLE) + (user_id % 30) / CAST(8 AS DOUBLE) AS latitude,
+    CAST(8 AS DOUBLE) + k / CAST(50 AS DOUBLE) AS longitude,
+    CAST(event_id * 7 % 120 + 5 AS DOUBLE) AS speed_kmh,
     (event_type = 'click') AS regen_braking_event
   FROM ev)"""
 
 VEHICLES = """vehicles AS (
   SELECT printf('VF-%03d', c_custkey) AS vehicle_id, c_name AS fleet_label,
-    CASE WHEN c_custkey % 2 = 1 THEN 'Lexus' ELSE 'Toyota' END AS make,
-    CASE WHEN c_custkey % 2 = 1 THEN 'RZ500e' ELSE 'bZ4X AWD' END AS model,
-    CAST(2023 + c_custkey % 2 AS INTEGER) AS manufacture_year,
-    CASE WHEN c_custkey % 2 = 1 THEN CAST(71.4 AS DOUBLE) ELSE CAST(72.8 AS DOUBLE) END AS rated_capacity_kwh,
+    CASE c_custkey % 3 WHEN 1 THEN 'Lumo' ELSE 'Ostrava' END AS make,
+    CASE c_custkey % 3 WHEN 0 THEN 'E3' WHEN 1 THEN 'Kastenwagen' ELSE 'E5 lang' END AS model,
+    CAST(2015 + c_custkey % 9 AS INTEGER) AS manufacture_year,
+    CASE c_custkey % 3 WHEN 0 THEN CAST(58 AS DOUBLE) WHEN 1 THEN CAST(77.5 AS DOUBLE) ELSE CAST(91.25 AS DOUBLE) END
+      AS rated_capacity_kwh,
     r_name AS region,
-    CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'v1.8.2' WHEN 'BUILDING' THEN 'v1.9.0'
-      WHEN 'FURNITURE' THEN 'v2.0.1' WHEN 'MACHINERY' THEN 'v2.1.3' ELSE 'v2.1.4' END AS software_version
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE c_custkey % 50 <> 0)"""
+    CASE c_mktsegment WHEN 'AUTOMOBILE' THEN '4.1' WHEN 'BUILDING' THEN '4.2'
+      WHEN 'FURNITURE' THEN '5.0' WHEN 'MACHINERY' THEN '5.3' ELSE '6.0' END AS software_version
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 
 def _skip(rows: str) -> str:
@@ -172,32 +173,38 @@ def _q(expr: str) -> str:
 
 
 def _raw() -> str:
-    vid = _case(_q("vehicle_id"), {9: "'\"TRUCK-001\"'", 10: "'7'", 19: "'\"  ' || vehicle_id || ' \"'", 27: "'\"\"'"})
+    vid = _case(_q("vehicle_id"), {
+        9: "'\"bus 12\"'", 10: "'7'", 19: "'\"  ' || vehicle_id || ' \"'", 26: "'\"\"'",
+        27: "'\"\\t' || vehicle_id || '\\n\"'", 28: "'\"' || vehicle_id || '\\u00a0\"'"})
     stamp = _case(_q(_iso("event_timestamp") + " || '+00:00'"), {
-        12: _q(_iso("received_at + INTERVAL 120 SECOND") + " || 'Z'"), 13: "'\"07/06/2026 12:00\"'",
-        16: _q(_iso("event_timestamp") + " || 'Z'"), 17: _q(_iso("event_timestamp + INTERVAL 2 HOUR") + " || '+02:00'"),
-        20: "'1717761600'", 24: _q("strftime(event_timestamp, '%Y%m%dT%H%M%S')")})
-    battery = _case("printf('%.4f', battery_pct)", {4: "'null'", 5: "'\"75\"'", 6: "'\"abc\"'", 7: "'101'",
-                                                    15: "'true'", 23: "'-1'", 25: "'NaN'"})
-    temp = _case("printf('%.1f', motor_temp_c)", {8: "'200'"})
-    regen = _case("CASE WHEN regen_braking_event THEN 'true' ELSE 'false' END", {11: "'1'", 22: "'\"false\"'"})
+        12: _q(_iso("received_at + INTERVAL 90 SECOND") + " || 'Z'"), 13: "'\"yesterday at noon\"'",
+        16: _q(_iso("event_timestamp") + " || 'Z'"), 17: _q(_iso("event_timestamp + INTERVAL 3 HOUR") + " || '+03:00'"),
+        20: "'86400'", 24: _q("strftime(event_timestamp, '%Y%m%dT%H%M%S')"),
+        29: _q(_iso("event_timestamp") + " || '+00:00\\t'")})
+    battery = _case("printf('%.4f', battery_pct)", {
+        4: "'null'", 5: "'\"61.5\"'", 6: "'\"half\"'", 7: "'100.25'", 15: "'true'", 23: "'-3'", 25: "'NaN'", 30: "'-0.0005'",
+        31: "'-0.00002'", 32: "'25000000'", 33: "'3e22'", 34: "'\"4_2\"'", 35: "'\"_42\"'", 36: "'\" Infinity\\t\"'",
+        37: "'\"1e400\"'"})
+    temp = _case("COALESCE(printf('%.3f', motor_temp_c), 'null')", {8: "'181.5'"})
+    regen = _case("CASE WHEN regen_braking_event THEN 'true' ELSE 'false' END", {11: "'0'", 22: "'\"true\"'"})
     parts = [
         ("vehicle_id", vid), ("event_timestamp", stamp), ("battery_pct", battery),
         ("state_of_charge_kwh", f"printf('%.6f', battery_pct * {D(0.5)})"),
         ("voltage_v", "printf('%.6f', voltage_v)"), ("current_a", "printf('%.2f', current_a)"),
-        ("motor_temp_c", temp), ("latitude", "printf('%.1f', latitude)"),
+        ("motor_temp_c", temp), ("latitude", "printf('%.3f', latitude)"),
         ("longitude", "printf('%.2f', longitude)"), ("speed_kmh", "printf('%.1f', speed_kmh)"),
         ("regen_braking_event", regen),
     ]
+    left_out = {"battery_pct": "m = 3", "motor_temp_c": "motor_temp_c IS NULL AND id % 2 = 0 AND m <> 8"}
     members = []
     for name, text in parts:
         member = f"'\"{name}\": ' || {text}"
-        members.append(f"CASE WHEN m = 3 THEN NULL ELSE {member} END" if name == "battery_pct" else member)
-    members.append("CASE m WHEN 14 THEN '\"pad\": \"' || repeat('x', 5000) || '\"' WHEN 18 THEN '\"speed_kmh\": 33.0' END")
+        members.append(f"CASE WHEN {left_out[name]} THEN NULL ELSE {member} END" if name in left_out else member)
+    members.append("CASE m WHEN 14 THEN '\"note\": \"' || repeat('z', 4500) || '\"' WHEN 18 THEN '\"speed_kmh\": 41.0' END")
     body = "'{' || concat_ws(', ', " + ", ".join(members) + ") || '}'"
-    raw = _case(body, {0: "''", 1: "'not json {{{'", 2: "'[1, 2]'", 21: "'null'"})
+    raw = _case(body, {0: "''", 1: "'{\"vehicle_id\": '", 2: "'[\"a\", 3]'", 21: "'null'"})
     return f"""{BRONZE}, raw AS (
-      SELECT id, received_at, {raw} AS raw_payload FROM (SELECT *, id % 40 AS m FROM bronze) WHERE motor_temp_c IS NOT NULL)"""
+      SELECT id, received_at, {raw} AS raw_payload, '10.1.0.' || (id % 200) AS client_ip FROM (SELECT *, id % 44 AS m FROM bronze))"""
 
 
 def _py_type(kind: str) -> str:
@@ -206,6 +213,9 @@ def _py_type(kind: str) -> str:
             f"WHEN {kind} = 'ARRAY' THEN 'list' ELSE 'dict' END")
 
 
+_BLANKS = "regexp_replace({}, '^[\\s\\x{{A0}}]+|[\\s\\x{{A0}}]+$', '', 'g')"
+
+
 def _inspected() -> str:
     extract = ", ".join(
         f"json_type(doc, '$.{r.name}') AS t_{r.name}, json_extract_string(doc, '$.{r.name}') AS s_{r.name}"
@@ -217,12 +227,15 @@ def _inspected() -> str:
     for r in S.TELEMETRY_RULES:
         t, s = f"t_{r.name}", f"s_{r.name}"
         if r.kind == "string":
-            typed.append(f"CASE WHEN {t} = 'VARCHAR' THEN trim({s}) END AS v_{r.name}")
+            typed.append(f"CASE WHEN {t} = 'VARCHAR' THEN {_BLANKS.format(s)} END AS v_{r.name}")
         elif r.kind == "boolean":
             typed.append(f"CASE WHEN {t} = 'BOOLEAN' THEN {s} = 'true' END AS v_{r.name}")
         else:
             typed.append(f"CASE WHEN {t} = 'BOOLEAN' THEN CASE WHEN {s} = 'true' THEN {D(1)} ELSE {D(0)} END "
-                         f"WHEN {t} IN ('ARRAY', 'OBJECT') THEN NULL ELSE TRY_CAST({s} AS DOUBLE) END AS v_{r.name}")
+                         f"WHEN {t} IN ('ARRAY', 'OBJECT') THEN NULL "
+                         f"WHEN regexp_matches({_BLANKS.format(s)}, '(?i)^[+-]?([0-9]+(_[0-9]+)*([.][0-9]*)?(e[+-]?[0-9]+)?|inf|infinity)$') "
+                         f"THEN CASE WHEN regexp_matches({s}, 'e[0-9]{{3}}') THEN CAST('inf' AS DOUBLE) "
+                         f"ELSE TRY_CAST(replace({_BLANKS.format(s)}, '_', '') AS DOUBLE) END END AS v_{r.name}")
     checks = []
     for r in S.TELEMETRY_RULES:
         t, v = f"t_{r.name}", f"v_{r.name}"
@@ -254,7 +267,7 @@ def _inspected() -> str:
 
 INSPECTED = _inspected()
 DLQ = INSPECTED + """, dlq AS (
-  SELECT id, received_at, raw_payload, reason AS error_reason FROM inspected
+  SELECT id, received_at, raw_payload, reason AS error_reason, client_ip FROM inspected
   WHERE reason IS NOT NULL AND reason <> 'payload_too_large')"""
 
 INTERVAL = 144_000_000_000  # microseconds per token at a quarter token per ten hours
@@ -317,7 +330,7 @@ causes AS (
   GROUP BY vehicle_id)"""
 
 REQUESTS = """requests AS (
-  SELECT vehicle_id FROM vehicles WHERE software_version = 'v1.8.2'
+  SELECT vehicle_id FROM vehicles WHERE software_version = '4.1'
   UNION SELECT vehicle_id FROM bronze WHERE vehicle_id NOT IN (SELECT vehicle_id FROM vehicles)),
 known AS (SELECT vehicle_id FROM requests WHERE vehicle_id IN (SELECT vehicle_id FROM vehicles))"""
 
@@ -367,9 +380,9 @@ ORACLES: dict[str, str] = {
     "v_reason_counts": WITH + INSPECTED + f" SELECT {_CLASS} AS reason_class, count(*) AS events FROM inspected GROUP BY 1",
     "p1_route_accepted": WITH + INSPECTED + f""" SELECT id, v_vehicle_id AS vehicle_id, {_ts('moment')} AS event_timestamp,
         v_battery_pct AS battery_pct, raw_payload FROM inspected WHERE reason IS NULL""",
-    "p1_route_dlq": WITH + DLQ + f" SELECT id, {_ts('received_at')} AS received_at, raw_payload, error_reason FROM dlq",
+    "p1_route_dlq": WITH + DLQ + f" SELECT id, {_ts('received_at')} AS received_at, raw_payload, error_reason, client_ip FROM dlq",
     "d6_dlq_preview": WITH + DLQ + f""" SELECT id, {_ts('received_at')} AS received_at, error_reason,
-        substring(raw_payload, 1, 200) AS raw_preview FROM dlq ORDER BY dlq.received_at DESC, id DESC LIMIT 100""",
+        client_ip, substring(raw_payload, 1, 200) AS raw_preview FROM dlq ORDER BY dlq.received_at DESC, id DESC LIMIT 100""",
     "d8_ingest_metrics": REC + LIMITED + """ SELECT count(*) FILTER (outcome = 'accepted') AS events_accepted,
         count(*) FILTER (outcome = 'rejected_rate_limit') AS events_rejected_rate_limit,
         count(*) FILTER (outcome = 'rejected_validation') AS events_rejected_validation,

@@ -16,7 +16,7 @@ from odolake.operators import (
 )
 from odolake.plans import reports
 from odolake.session import staging_path
-from odolake.sources import telemetry
+from catalog import telemetry
 from odolake.streaming import jobs, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,12 +53,12 @@ def p1_route_accepted(t: Lake) -> DataFrame:
 
 @query
 def p1_route_dlq(t: Lake) -> DataFrame:
-    return t.dlq.select("id", "received_at", "raw_payload", "error_reason")
+    return t.dlq.select("id", "received_at", "raw_payload", "error_reason", "client_ip")
 
 
 @query
 def d6_dlq_preview(t: Lake) -> DataFrame:
-    return ingest.dlq_newest(t.dlq).drop("client_ip")
+    return ingest.dlq_newest(t.dlq)
 
 
 @query
@@ -364,7 +364,7 @@ def m10_cycle_alerts(t: Lake) -> DataFrame:
 
 def _requests(t: Lake) -> DataFrame:
     """Vehicles with software at its end of life ask for erasure, and so do all unregistered ones."""
-    old = t.vehicles.where(F.col("software_version") == "v1.8.2").select("vehicle_id")
+    old = t.vehicles.where(F.col("software_version") == "4.1").select("vehicle_id")
     return old.unionByName(cleaning.missing_keys(t.bronze.select("vehicle_id"), t.vehicles))
 
 

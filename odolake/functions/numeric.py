@@ -46,3 +46,27 @@ def worsened(current: Column, previous: Column, factor: float) -> Column:
 def unit_label(prefix: str, number: Column) -> Column:
     """Zero-padded label of at least three digits; longer numbers stay whole."""
     return F.format_string(prefix.replace("%", "%%") + "%03d", number)
+
+
+def number_text(x: Column) -> Column:
+    """A double as text: shortest digits, plain from 0.0001 up to sixteen digits, else with an exponent."""
+    shown = x.cast("string")
+    mantissa = F.split_part(shown, F.lit("E"), F.lit(1))
+    power = F.split_part(shown, F.lit("E"), F.lit(2)).try_cast("int")
+    sign = F.when(x < 0, "-").otherwise("")
+    digits = F.regexp_replace(F.regexp_replace(mantissa, "^-|[.]", ""), "(.)0$", "$1")
+    whole = F.rpad(digits, power + 1, "0")
+    rest = F.substring(digits, power + 2, F.lit(20))
+    plain = F.when(power >= 0, F.concat(
+        sign, F.substring(whole, F.lit(1), power + 1), F.lit("."), F.when(rest == "", "0").otherwise(rest)))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    tail = F.substring(digits, 2, 20)
+    scientific = F.concat(
+        sign, F.substring(digits, 1, 1), F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)), F.lit("e"),
+        F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), F.greatest(
+            F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    return (
+        F.when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), F.concat(sign, F.lit("inf")))
+        .when(power.isNull(), shown).when((power >= 0) & (power < 16), plain)
+        .when((power < 0) & (power >= -4), small).otherwise(scientific)
+    )

@@ -13,11 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odolake import schemas as S
+from odolake.functions.numeric import number_text
 from odolake.functions.timing import parse_iso, seconds
 
 OVERSIZE = "payload_too_large"
 
-_NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|infinity|nan)\s*$"
+# fixed values: the characters that count as blank around an id, a time or a number
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_DIGITS = r"\d+(_\d+)*"
+_NUMBER_TEXT = rf"(?i)^[+-]?(({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})(e[+-]?{_DIGITS})?|inf|infinity|nan)\z"
 _KIND_LABEL = {"string": "str", "boolean": "bool", "double": "float"}
 
 
@@ -48,11 +52,12 @@ def _typed(rule: S.FieldRule) -> Column:
     """The field's value in its expected type, NULL where it has none."""
     text = F.col(f"_t_{rule.name}")
     if rule.kind == "string":
-        return F.trim(F.col(f"_s_{rule.name}"))
+        return F.btrim(F.col(f"_s_{rule.name}"), F.lit(BLANKS))
     if rule.kind == "boolean":
         return F.when(text == "true", F.lit(True)).when(text == "false", F.lit(False))
-    bare = F.btrim(text, F.lit('"'))
-    number = F.when(bare.rlike(_NUMBER_TEXT), F.nullif(bare.try_cast("double"), F.lit(float("nan"))))
+    bare = F.btrim(F.coalesce(F.col(f"_s_{rule.name}"), text), F.lit(BLANKS))
+    number = F.when(bare.rlike(_NUMBER_TEXT), F.nullif(
+        F.replace(bare, F.lit("_"), F.lit("")).try_cast("double"), F.lit(float("nan"))))
     return F.coalesce(number, F.when(text == "true", 1.0), F.when(text == "false", 0.0))
 
 
@@ -68,7 +73,7 @@ def _field_reason(rule: S.FieldRule) -> Column:
     else:
         untyped = F.concat(F.lit(f"invalid_type:{rule.name}:expected_{label}:got_"), json_type(text))
     checks.append(F.when(~absent & value.isNull(), untyped))
-    shown = value.cast("string")
+    shown = number_text(value) if rule.kind == "double" else value
     if rule.low is not None:
         checks.append(
             F.when(value < F.lit(rule.low),
@@ -118,12 +123,12 @@ def inspect(
     strings = [
         F.when(F.col(f"_t_{r.name}").startswith('"'), F.try_variant_get(F.col("_doc"), f"$.{r.name}", "string"))
         .alias(f"_s_{r.name}")
-        for r in rules if r.kind == "string"
+        for r in rules if r.kind != "boolean"
     ]
     decoded = computed_once(texts, *strings)
     values = computed_once(
         decoded, *[_typed(r).alias(f"_v_{r.name}") for r in rules],
-        parse_iso(F.trim(F.col(f"_s_{time_field}"))).alias("_when"),
+        parse_iso(F.btrim(F.col(f"_s_{time_field}"), F.lit(BLANKS))).alias("_when"),
     )
 
     sent_key = F.col(f"_s_{key}")

@@ -51,7 +51,7 @@ FEATURES = (
     "rolling_5min_discharge_rate",
 )
 
-VEHICLE_ID_PATTERN = "^VF-[0-9]{3}$"
+VEHICLE_ID_PATTERN = r"^VF-[0-9]{3}\z"
 VEHICLE_ID_FORMAT_HINT = "VF-NNN"
 MAX_PAYLOAD_BYTES = 4096
 MAX_FUTURE_SECONDS = 60
