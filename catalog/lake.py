@@ -60,7 +60,8 @@ class Lake:
         """
         events = staged(self.inspected, "inspected")
         verdicts = rate_limit.token_bucket(events, key="limiter_key", refill_per_second=REFILL)
-        return events.join(verdicts, "id", "left").withColumn("outcome", ingest.outcome(F.col("allowed")))
+        refused = verdicts.where(~F.col("allowed"))  # only these travel to their events
+        return events.join(refused, "id", "left").withColumn("outcome", ingest.outcome(F.col("allowed")))
 
     @cached_property
     def dlq(self) -> DataFrame:
@@ -98,7 +99,7 @@ class Lake:
 
     @cached_property
     def alerts(self) -> DataFrame:
-        return alerting.replay_alerts(self.predictions, 2, QUIET_HOURS, 1.2)
+        return alerting.with_causes(alerting.replay_alerts(self.predictions, 2, QUIET_HOURS, 1.2), self.stored_gold)
 
     @property
     def tables(self) -> Mapping[str, DataFrame]:

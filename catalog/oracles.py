@@ -329,6 +329,9 @@ causes AS (
   FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY dev DESC, pos) AS rk FROM devs) WHERE rk <= 3
   GROUP BY vehicle_id)"""
 
+_JSON = """'["' || replace(top_features, ',', '","') || '"]' AS top_features"""
+NAMED = ", " + FLEET + ", named AS (SELECT a.*, c.top_features FROM alerts a JOIN causes c ON c.vehicle_id = a.vehicle_id)"
+
 REQUESTS = """requests AS (
   SELECT vehicle_id FROM vehicles WHERE software_version = '4.1'
   UNION SELECT vehicle_id FROM bronze WHERE vehicle_id NOT IN (SELECT vehicle_id FROM vehicles)),
@@ -452,11 +455,12 @@ ORACLES: dict[str, str] = {
     "d3_predictions_topn": WITH + PREDICTIONS + f""" SELECT vehicle_id, {_ts('window_start')} AS window_start, anomaly_score,
         CAST(is_anomaly AS INTEGER) AS is_anomaly, mode, {_ts('predicted_at')} AS predicted_at FROM predictions
         QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY predictions.predicted_at DESC, mode) <= 20""",
-    "d3_alerts_topn": REC + ALERTS + f""" SELECT vehicle_id, {_ts('first_detected_at')} AS first_detected_at, anomaly_score, status,
-        {_ts('created_at')} AS created_at FROM alerts
-        QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY alerts.created_at DESC) <= 10""",
-    "d4_alerts": REC + ALERTS + f""" SELECT vehicle_id, {_ts('first_detected_at')} AS first_detected_at, anomaly_score,
-        {_ts('created_at')} AS created_at FROM alerts ORDER BY alerts.created_at DESC, vehicle_id LIMIT 50""",
+    "d3_alerts_topn": REC + ALERTS + NAMED + f""" SELECT vehicle_id, {_ts('first_detected_at')} AS first_detected_at, anomaly_score,
+        top_features, status, {_ts('created_at')} AS created_at FROM named
+        QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY named.created_at DESC) <= 10""",
+    "d4_alerts": REC + ALERTS + NAMED + f""" SELECT vehicle_id, {_ts('first_detected_at')} AS first_detected_at,
+        {_ts('run_started_at')} AS run_started_at, anomaly_score, {_JSON}, status, {_ts('created_at')} AS created_at
+        FROM named ORDER BY named.created_at DESC, vehicle_id LIMIT 50""",
     "d5_stage_health": WITH + PREDICTIONS + " " + _STAGES,
     "d5_counts": REC + _ALL + """ SELECT 'bronze' AS layer, count(*) AS records FROM bronze
         UNION ALL SELECT 'silver', count(*) FROM silver UNION ALL SELECT 'gold', count(*) FROM gold
@@ -470,24 +474,28 @@ ORACLES: dict[str, str] = {
         WHERE (s.vehicle_id, s.event_timestamp) IN (SELECT vehicle_id, max(event_timestamp) FROM silver GROUP BY vehicle_id)""",
     "d9_layer_counts": WITH + GOLD + _without(BRONZE, DLQ) + """ SELECT (SELECT count(*) FROM bronze) AS bronze,
         (SELECT count(*) FROM silver) AS silver, (SELECT count(*) FROM gold) AS gold, (SELECT count(*) FROM dlq) AS dlq""",
-    "d11_alert_list": REC + ALERTS + f" SELECT vehicle_id, anomaly_score, status, {_ts('created_at')} AS created_at FROM alerts",
+    "d11_alert_list": REC + ALERTS + NAMED
+        + f" SELECT vehicle_id, anomaly_score, {_JSON}, status, {_ts('created_at')} AS created_at FROM named",
     "m2_scaler": WITH + GOLD + " SELECT count(*) AS rows_read, count(*) AS rows_complete, " + ", ".join(
         f"round(avg({f}), 6) AS mean_{f}, round(stddev_pop({f}), 6) AS dev_{f}" for f in S.FEATURES) + " FROM gold",
     "a13_threshold": WITH + GOLD + " SELECT round(quantile_cont(health_score, 0.05), 6) AS threshold FROM gold",
     "m8_top_features": WITH + GOLD + ", " + FLEET + " SELECT vehicle_id, top_features FROM causes",
     "w5_consecutive": WITH + RUNS + f""" SELECT vehicle_id, {_ts('window_start')} AS window_start, CAST(is_anomaly AS INTEGER) AS is_anomaly,
         CAST(confirmed AS INTEGER) AS confirmed, {_ts('run_started_at')} AS run_started_at FROM runs""",
-    "w6_suppressed_alerts": REC + ALERTS + f""" SELECT vehicle_id, {_ts('first_detected_at')} AS first_detected_at,
-        {_ts('run_started_at')} AS run_started_at, anomaly_score, status, {_ts('created_at')} AS created_at FROM alerts""",
+    "w6_suppressed_alerts": REC + ALERTS + NAMED + f""" SELECT vehicle_id, {_ts('first_detected_at')} AS first_detected_at,
+        {_ts('run_started_at')} AS run_started_at, anomaly_score, status, {_ts('created_at')} AS created_at, top_features FROM named""",
     "m10_cycle_alerts": REC + ALERTS + ", " + FLEET + f""", recent AS (
         SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY window_start DESC) AS back FROM runs),
-        due AS (SELECT vehicle_id, max(window_start) AS window_start, arg_max(anomaly_score, window_start) AS anomaly_score
+        due AS (SELECT vehicle_id, max(window_start) AS window_start, arg_max(anomaly_score, window_start) AS anomaly_score,
+            arg_max(predicted_at, window_start) AS predicted_at, min(window_start) AS run_started_at
           FROM recent WHERE back <= 2 GROUP BY vehicle_id HAVING count(*) = 2 AND bool_and(is_anomaly)),
-        standing AS (SELECT vehicle_id, arg_max(anomaly_score, created_at) AS score FROM alerts
-          WHERE created_at < {AS_OF} AND created_at >= {AS_OF} - INTERVAL 96 HOUR GROUP BY vehicle_id)
-        SELECT d.vehicle_id, {_ts('d.window_start')} AS first_detected_at, d.anomaly_score, c.top_features, {_ts(AS_OF)} AS created_at
+        standing AS (SELECT vehicle_id, arg_max(anomaly_score, created_at) AS score, max(created_at) AS since FROM alerts
+          WHERE created_at < {AS_OF} GROUP BY vehicle_id)
+        SELECT d.vehicle_id, {_ts('d.window_start')} AS first_detected_at, d.anomaly_score, c.top_features,
+          {_ts('d.predicted_at')} AS created_at
         FROM due d LEFT JOIN standing s ON d.vehicle_id = s.vehicle_id JOIN causes c ON c.vehicle_id = d.vehicle_id
-        WHERE s.score IS NULL OR abs(d.anomaly_score) > abs(s.score) * CAST(1.2 AS DOUBLE)""",
+        WHERE s.since IS NULL OR s.since < d.predicted_at - INTERVAL 96 HOUR
+          OR abs(d.anomaly_score) > abs(s.score) * CAST(1.2 AS DOUBLE)""",
     "e1_erase_bronze": WITH + BRONZE + ", " + VEHICLES + ", " + REQUESTS + """ SELECT id,
         CASE WHEN k.vehicle_id IS NULL THEN b.vehicle_id ELSE '[ERASED]' END AS vehicle_id,
         CASE WHEN k.vehicle_id IS NULL THEN latitude END AS latitude, CASE WHEN k.vehicle_id IS NULL THEN longitude END AS longitude,

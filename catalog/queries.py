@@ -268,7 +268,7 @@ def d3_alerts_topn(t: Lake) -> DataFrame:
 
 @query
 def d4_alerts(t: Lake) -> DataFrame:
-    return reports.newest_alerts(t.alerts).select("vehicle_id", "first_detected_at", "anomaly_score", "created_at")
+    return reports.newest_alerts(t.alerts)
 
 
 @query
@@ -468,4 +468,5 @@ def stream_alerts(t: Lake) -> DataFrame:
     path = staging_path(t.spark, "predictions")
     t.predictions.write.parquet(path)
     stream = t.spark.readStream.schema(t.predictions.schema).parquet(path)
-    return _drained(t, stateful.alert_stream(stream, 2, L.QUIET_HOURS, 1.2), "alerts")
+    raised = _drained(t, stateful.alert_stream(stream, 2, L.QUIET_HOURS, 1.2), "alerts")
+    return alerting.with_causes(raised, t.stored_gold)

@@ -21,15 +21,19 @@ PRODUCTION = "production"
 
 
 def one_per_window(predictions: DataFrame, mode: str = PRODUCTION, include_erased: bool = False) -> DataFrame:
-    """The newest prediction of each vehicle and window, so a re-scored window counts once."""
+    """The first prediction of each vehicle and window: a window that is scored again counts once, as it did first.
+
+    Replay, cycles and streams share this rule, so a history that was scored repeatedly gives
+    the same alerts in all three.
+    """
     kept = predictions.where(F.col("mode") == mode)
     if not include_erased:
         kept = kept.where(F.col("vehicle_id") != S.ERASED)
-    newest = F.struct("predicted_at", "anomaly_score")
+    order = F.struct("predicted_at", "anomaly_score")
     return kept.groupBy("vehicle_id", "window_start").agg(
-        F.max("predicted_at").alias("predicted_at"),
-        F.max_by("anomaly_score", newest).alias("anomaly_score"),
-        F.max_by("is_anomaly", newest).alias("is_anomaly"),
+        F.min("predicted_at").alias("predicted_at"),
+        F.min_by("anomaly_score", order).alias("anomaly_score"),
+        F.min_by("is_anomaly", order).alias("is_anomaly"),
     )
 
 
@@ -118,6 +122,7 @@ def confirmed_now(predictions: DataFrame, consecutive: int = 2, mode: str = PROD
             F.count("*").alias("_n"), F.every("is_anomaly").alias("_all"),
             F.max("window_start").alias("window_start"), F.min("window_start").alias("run_started_at"),
             F.max_by("anomaly_score", newest).alias("anomaly_score"),
+            F.max_by("predicted_at", newest).alias("predicted_at"),
         )
         .where((F.col("_n") == consecutive) & F.col("_all"))
         .drop("_n", "_all")
@@ -128,25 +133,36 @@ def raise_alerts(
     predictions: DataFrame, alerts: DataFrame, gold: DataFrame, as_of, consecutive: int = 2,
     suppression_hours: float = 4, factor: float = 1.2, mode: str = PRODUCTION, top: int = 3,
 ) -> DataFrame:
-    """New alerts of the cycle at ``as_of``, given the stored predictions and open alerts."""
+    """New alerts of the cycle at ``as_of``, given the stored predictions and open alerts.
+
+    A window is judged at the time of its first prediction: scoring it again later, as happens
+    to a vehicle that went silent, neither raises it anew nor outlives the quiet time.
+    """
     now = instant(as_of)
     standing = newest_row(
-        alerts.where((F.col("status") == "open") & (F.col("created_at") >= now - seconds(suppression_hours * 3600)))
-        .withColumn("_score", F.col("anomaly_score")),
-        "vehicle_id", ["created_at", "id"], ["_score"],
+        alerts.where(F.col("status") == "open").select(
+            "vehicle_id", "id", F.col("created_at").alias("_at"), F.col("anomaly_score").alias("_score")),
+        "vehicle_id", ["_at", "id"], ["_at", "_score"],
     )
+    quiet_since = F.col("predicted_at") - seconds(suppression_hours * 3600)
     due = (
-        confirmed_now(predictions, consecutive, mode)
+        confirmed_now(predictions.where(F.col("predicted_at") <= now), consecutive, mode)
         .join(standing, "vehicle_id", "left")
-        .where(F.col("_score").isNull() | worsened(F.col("anomaly_score"), F.col("_score"), factor))
+        .where(F.col("_at").isNull() | (F.col("_at") < quiet_since)
+               | worsened(F.col("anomaly_score"), F.col("_score"), factor))
     )
-    causes = top_features(gold, top=top)
-    return due.join(causes, "vehicle_id", "left").select(
+    return with_causes(due.select(
         "vehicle_id", F.col("window_start").alias("first_detected_at"), "run_started_at", "anomaly_score",
-        F.coalesce("top_features", F.array().cast("array<string>")).alias("top_features"),
         F.lit("open").alias("status"), F.lit(None).cast("timestamp").alias("acknowledged_at"),
-        F.lit(None).cast("string").alias("acknowledged_by"), now.alias("created_at"),
-    )
+        F.lit(None).cast("string").alias("acknowledged_by"), F.col("predicted_at").alias("created_at"),
+    ), gold, top)
+
+
+def with_causes(alerts: DataFrame, gold: DataFrame, top: int = 3) -> DataFrame:
+    """``alerts`` with ``top_features``: what stands out in the newest health row of the vehicle."""
+    named = alerts.join(top_features(gold, top=top), "vehicle_id", "left")
+    causes = F.coalesce("top_features", F.array().cast("array<string>")).alias("top_features")
+    return named.select(*alerts.columns, causes)
 
 
 # --- attribution --------------------------------------------------------------

@@ -8,9 +8,11 @@ but one, an event at ``t`` is allowed when ``full_at <= t + slack``; it then mov
 Events are range-partitioned by (key, time, id), so a hot key spreads over as many
 partitions as its rows need. Only the first key of a partition can have begun in an
 earlier one. A first pass describes, for that key, the closing state as a function of the
-unknown opening state (a handful of pieces: shifted by a constant, or constant). The
-pieces, at most one row per partition, are chained, and a second pass decides every event
-with its true opening state.
+unknown opening state. That state lies at most ``capacity`` intervals past the partition's
+first event, as an event can push it no further, so a busy key needs about ``capacity``
+pieces (shifted by a whole number of intervals, or constant), however many events there are.
+A bucket of one token, or an idle key, may need one more per event of one interval. The pieces, at most one row per partition, are chained, and a second pass
+decides every event with its true opening state.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from odolake.session import pinned
 _FULL = -(2**62)  # "has always been full"
 _END = 2**62
 _IDENTITY = [(_FULL, False, 0)]
+EVENTS_PER_PARTITION = 500_000
 
 
 def step(full_at: int, t: int, interval: int, slack: int) -> tuple[int, bool]:
@@ -52,11 +55,12 @@ def decide(full_at: int, times: list[int], interval: int, slack: int) -> tuple[i
     return full_at, allowed
 
 
-def extend_pieces(pieces: list, t: int, interval: int, slack: int) -> list:
+def extend_pieces(pieces: list, t: int, interval: int, slack: int, end: int = _END) -> list:
     """Carry the opening-to-closing state function over one more event.
 
     A piece ``(low, constant, value)`` covers opening states from ``low`` up to the next
-    piece; its closing state is ``value`` if constant, else the opening state + ``value``.
+    piece, the last one up to ``end``; its closing state is ``value`` if constant, else the
+    opening state + ``value``.
     """
     out: list = []
 
@@ -65,7 +69,7 @@ def extend_pieces(pieces: list, t: int, interval: int, slack: int) -> list:
             out.append((low, constant, value))
 
     for i, (low, constant, value) in enumerate(pieces):
-        high = pieces[i + 1][0] if i + 1 < len(pieces) else _END
+        high = pieces[i + 1][0] if i + 1 < len(pieces) else end
         if constant:
             add(low, True, step(value, t, interval, slack)[0])
             continue
@@ -103,7 +107,7 @@ _SUMMARY = "part INT, first_key STRING, last_key STRING, lows ARRAY<BIGINT>, " \
 def _summariser(interval: int, slack: int):
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = current = None
-        pieces, tail = _IDENTITY, _FULL
+        pieces, tail, end = _IDENTITY, _FULL, _END
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -115,6 +119,8 @@ def _summariser(interval: int, slack: int):
                     current, tail = key, _FULL
                     first = key if first is None else first
                 times = times.tolist()
+                if end == _END:
+                    end = times[0] + slack + interval + 1
                 if current != first:
                     tail, _ = decide(tail, times, interval, slack)
                     continue
@@ -123,7 +129,7 @@ def _summariser(interval: int, slack: int):
                         state, _ = decide(pieces[0][2], times[i:], interval, slack)
                         pieces = [(_FULL, True, state)]
                         break
-                    pieces = extend_pieces(pieces, t, interval, slack)
+                    pieces = extend_pieces(pieces, t, interval, slack, end)
         if first is not None:
             low, constant, value = (list(c) for c in zip(*pieces))
             yield pa.RecordBatch.from_pydict(
@@ -185,14 +191,16 @@ def token_bucket(
 ) -> DataFrame:
     """(id, allowed) for every event with a key; every bucket starts full.
 
-    Only the three columns needed are sorted; join the answer back on the unique id.
+    Only the three columns needed are sorted; join the answer back on the unique id. The
+    number of partitions follows the number of events.
     """
     spark = events.sparkSession
     interval, slack = bucket_times(capacity, refill_per_second)
-    width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     arrivals = events.where(F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.unix_micros(time).alias("t"), F.col(ident).alias("id")
     )
+    width = partitions or max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), -(-arrivals.count() // EVENTS_PER_PARTITION))
     ordered = pinned(arrivals.repartitionByRange(width, "key", "t", "id").sortWithinPartitions("key", "t", "id"))
     summaries = ordered.mapInArrow(_summariser(interval, slack), _SUMMARY).collect()  # one row per partition
     return ordered.mapInArrow(_decider(interval, slack, _opening_states(summaries)), "id BIGINT, allowed BOOLEAN")

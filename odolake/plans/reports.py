@@ -45,7 +45,7 @@ def fleet_summary(t: Tables, as_of, online_seconds: float = 120) -> DataFrame:
     )
     battery = newest_row(_named(t["gold_vehicle_health"]), "vehicle_id", ["aggregated_at", "window_start"],
                          ["avg_battery_pct"]).agg(F.round(F.avg("avg_battery_pct"), 1))
-    open_alerts = t["alerts"].agg(F.count_if(F.col("status") == "open"))
+    open_alerts = _named(t["alerts"]).agg(F.count_if(F.col("status") == "open"))
     one = _one_row(
         t["bronze_telemetry"].sparkSession,
         total_vehicles=t["vehicle_metadata"].agg(F.count("*")).scalar(),
@@ -109,20 +109,20 @@ _ALERT = ("first_detected_at", "anomaly_score", "top_features", "status", "creat
 
 def health_history(gold: DataFrame, n: int = 20) -> DataFrame:
     """The newest ``n`` health rows of every vehicle."""
-    rows = top_n_per_key(gold, "vehicle_id", [F.desc("aggregated_at"), F.desc("window_start")], n)
+    rows = top_n_per_key(_named(gold), "vehicle_id", [F.desc("aggregated_at"), F.desc("window_start")], n)
     return rows.select("vehicle_id", *_HEALTH)
 
 
 def prediction_history(predictions: DataFrame, n: int = 20) -> DataFrame:
     """The newest ``n`` predictions of every vehicle, of either mode."""
-    rows = top_n_per_key(predictions, "vehicle_id", [F.desc("predicted_at"), "mode", F.desc("window_start")], n)
+    rows = top_n_per_key(_named(predictions), "vehicle_id", [F.desc("predicted_at"), "mode", F.desc("window_start")], n)
     return rows.select("vehicle_id", *_PREDICTION)
 
 
 def alert_history(alerts: DataFrame, n: int = 10) -> DataFrame:
     """The newest ``n`` alerts of every vehicle."""
-    rows = top_n_per_key(alerts, "vehicle_id", [F.desc("created_at"), F.desc("first_detected_at")], n)
-    return rows.select("vehicle_id", *[c for c in _ALERT if c in alerts.columns])
+    rows = top_n_per_key(_named(alerts), "vehicle_id", [F.desc("created_at"), F.desc("first_detected_at")], n)
+    return rows.select("vehicle_id", *_ALERT)
 
 
 def vehicle_detail(t: Tables, vehicle_id: str, as_of, span_seconds: float = 3600) -> dict[str, DataFrame]:
@@ -140,12 +140,15 @@ def vehicle_detail(t: Tables, vehicle_id: str, as_of, span_seconds: float = 3600
 
 
 def newest_alerts(alerts: DataFrame, limit: int = 50) -> DataFrame:
-    return alerts.orderBy(F.desc("created_at"), "vehicle_id", F.desc("first_detected_at")).limit(limit)
+    """The newest alerts with the feature list as JSON text."""
+    newest = _named(alerts).orderBy(F.desc("created_at"), "vehicle_id", F.desc("first_detected_at")).limit(limit)
+    return newest.withColumn("top_features", F.to_json("top_features"))
 
 
 def alert_list(alerts: DataFrame) -> DataFrame:
-    return alerts.select("vehicle_id", "anomaly_score", *[c for c in ("top_features",) if c in alerts.columns],
-                         "status", "created_at")
+    """All alerts with the feature list as JSON text."""
+    return _named(alerts).select(
+        "vehicle_id", "anomaly_score", F.to_json("top_features").alias("top_features"), "status", "created_at")
 
 
 _STAGES = (
@@ -209,6 +212,6 @@ def fleet_positions(t: Tables, all_open: bool = False) -> DataFrame:
 
 def latest_scores(predictions: DataFrame) -> DataFrame:
     """Newest production score per vehicle, worst first."""
-    rows = newest_row(predictions.where(F.col("mode") == "production"), "vehicle_id",
+    rows = newest_row(_named(predictions).where(F.col("mode") == "production"), "vehicle_id",
                       ["predicted_at", "window_start"], ["anomaly_score", "is_anomaly"])
     return rows.orderBy("anomaly_score", "vehicle_id")

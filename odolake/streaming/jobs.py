@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from odolake import schemas as S
 from odolake.functions.timing import seconds
 from odolake.operators import cleaning, forest, health, ingest, validation
-from odolake.operators.alerting import top_features
+from odolake.operators.alerting import with_causes
 from odolake.session import pinned
 from odolake.sources.store import Store, with_batch_ids
 from odolake.streaming.stateful import alert_stream
@@ -140,7 +140,7 @@ def alert_query(store: Store, checkpoint: str, interval: str | None = "30 second
     """Raise alerts from new production predictions, with the features that stand out most."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        causes = top_features(store.read("gold_vehicle_health"))
-        store.write_batch("alerts", with_batch_ids(batch.join(causes, "vehicle_id", "left"), batch_id), batch_id)
+        named = with_causes(batch, store.read("gold_vehicle_health"))
+        store.write_batch("alerts", with_batch_ids(named, batch_id), batch_id)
 
     return _start(alert_stream(store.stream("predictions"), **rules).writeStream.foreachBatch(write), checkpoint, interval)

@@ -65,7 +65,7 @@ class AlertProcessor(StatefulProcessor):
         self.memory = handle.getValueState("memory", self.FIELDS)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen = pd.concat(list(rows)).sort_values(["w", "t"]).drop_duplicates("w", keep="last")
+        seen = pd.concat(list(rows)).sort_values(["w", "t", "anomaly_score"]).drop_duplicates("w")
         last, run, started, alert_at, alert_score = (
             self.memory.get() if self.memory.exists() else (_NEVER, 0, _NEVER, _NEVER, 0.0)
         )

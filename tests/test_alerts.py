@@ -69,3 +69,38 @@ def test_cycles_equal_replay(spark, rows, expected):
                     None, None, T0 + timedelta(seconds=rows[n][0])) for r in new.collect()]
     assert [round((s[9] - T0).total_seconds()) for s in stored] == expected
     assert all(s[5] == list(S.FEATURES[:3]) for s in stored)
+
+
+def test_a_rescored_history_gives_the_same_alerts_three_ways(spark, tmp_path):
+    """A vehicle goes silent, and its last window is scored again and again past the quiet time."""
+    from odolake.streaming.stateful import alert_stream
+
+    first = [(0, 1, -0.10), (30, 1, -0.11), (60, 1, -0.11)]
+    again = [(60, at, -0.4) for at in (90, 3600, LATE, 2 * LATE)]
+    utc = T0.timestamp()
+    rows = [(w, w, score) for w, _, score in first] + again
+
+    def history(upto):
+        return spark.createDataFrame(
+            [("VF-001", T0 + timedelta(seconds=w), score, True, "v1.0", "production", T0 + timedelta(seconds=t))
+             for w, t, score in rows if t <= upto], S.PREDICTIONS)
+
+    everything = history(10**6)
+    assert at(A.replay_alerts(everything)) == [30]
+    everything.repartition(1).write.parquet(f"{tmp_path}/p")
+    stream = spark.readStream.schema(S.PREDICTIONS).parquet(f"{tmp_path}/p")
+    query = alert_stream(stream).writeStream.format("memory").queryName("rescored").option(
+        "checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert at(spark.table("rescored")) == [30]
+    gold = spark.createDataFrame(
+        [("VF-001", T0, 1.0, 1.0, 1.0, 1.0, 1.0, T0)],
+        "vehicle_id STRING, window_start TIMESTAMP, avg_battery_pct DOUBLE, avg_voltage_v DOUBLE, avg_current_a DOUBLE, "
+        "avg_motor_temp_c DOUBLE, rolling_5min_discharge_rate DOUBLE, aggregated_at TIMESTAMP")
+    stored = []
+    for t in sorted({t for _, t, _ in rows}):
+        now = T0 + timedelta(seconds=t)
+        new = A.raise_alerts(history(t), spark.createDataFrame(stored, S.ALERTS), gold, now)
+        stored += [(t, r.vehicle_id, r.first_detected_at, r.run_started_at, r.anomaly_score, r.top_features, "open", None, None,
+                    r.created_at) for r in new.collect()]
+    assert [round(s[9].replace(tzinfo=timezone.utc).timestamp() - utc) for s in stored] == [30]

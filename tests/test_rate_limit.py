@@ -68,3 +68,34 @@ def test_hot_key_over_many_partitions_equals_one_pass(spark):
     assert got == allowed(spark, events, partitions=1)
     hot = sorted((t, i) for i, (k, t) in enumerate(events) if k == "hot")
     assert [got[i] for _, i in hot] == by_tokens([t for t, _ in hot], 3, 4)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 5), min_size=1, max_size=400), st.integers(2, 5), st.integers(1, 30), TIMES)
+def test_pieces_stay_few_below_the_highest_opening_state(gaps, capacity, interval, before):
+    """However many events: the opening state ends at one full bucket past the first event."""
+    slack, t, pieces, times = (capacity - 1) * interval, 400, R._IDENTITY, []
+    end = 400 + slack + interval + 1
+    for gap in gaps:
+        t += gap
+        times.append(t - gaps[0])
+        pieces = R.extend_pieces(pieces, times[-1], interval, slack, end)
+        assert len(pieces) <= interval + 2 * capacity
+    opening = R.decide(R._FULL, before, interval, slack)[0]
+    assert opening < end and R.closing_state(pieces, opening) == R.decide(opening, times, interval, slack)[0]
+
+
+def test_a_hot_key_is_linear():
+    """A saturated bucket of one key: the summary of a partition costs a few plain passes at most."""
+    import time
+
+    interval, slack = R.bucket_times(3, 0.25)
+    times = [k * 500_000 for k in range(100_000)]
+    began = time.perf_counter()
+    R.decide(R._FULL, times, interval, slack)
+    plain = time.perf_counter() - began
+    pieces, end = R._IDENTITY, times[0] + slack + interval + 1
+    began = time.perf_counter()
+    for t in times:
+        pieces = R.extend_pieces(pieces, t, interval, slack, end)
+    assert len(pieces) <= 9 and time.perf_counter() - began < max(2.0, 400 * plain)
