@@ -87,7 +87,7 @@ def r1_token_bucket(t: Lake) -> DataFrame:
 
 @query
 def s4_incremental_batch(t: Lake) -> DataFrame:
-    batch = cleaning.next_batch(t.bronze, watermark=500)
+    batch = cleaning.next_batch(t.bronze, watermark=500, rows=1000)
     return batch.select("id", "vehicle_id", "event_timestamp", "battery_pct")
 
 

@@ -61,9 +61,10 @@ def silver(bronze: DataFrame, vehicles: DataFrame, processed_at: Column | str =
 # --- incremental reading ------------------------------------------------------
 
 
-def next_batch(bronze: DataFrame, watermark: int, rows: int = S.BATCH_ROWS) -> DataFrame:
-    """The next ``rows`` raw rows above the watermark, in id order."""
-    return bronze.where(F.col("id") > F.lit(watermark)).orderBy("id").limit(rows)
+def next_batch(bronze: DataFrame, watermark: int, rows: int | None = None) -> DataFrame:
+    """The raw rows above the watermark: all of them, or the next ``rows`` in id order."""
+    new = bronze.where(F.col("id") > F.lit(watermark))
+    return new if rows is None else new.orderBy("id").limit(rows)
 
 
 def progress(processed: DataFrame, column: str = "bronze_id") -> DataFrame:

@@ -46,9 +46,19 @@ def erase(df: DataFrame, keys: DataFrame, table: str, key: str = "vehicle_id") -
     return df.join(_requested(keys, key), key, "left").select(*[column(c) for c in df.columns])
 
 
+def _named_key(key: str) -> Column:
+    """The key that a dead letter's payload names."""
+    return F.trim(F.try_variant_get(F.try_parse_json("raw_payload"), f"$.{key}", "string"))
+
+
+def naming(dlq: DataFrame, keys: DataFrame, key: str = "vehicle_id") -> DataFrame:
+    """The dead letters whose payload names a requested key."""
+    return dlq.withColumn(key, _named_key(key)).join(keys.select(key), key, "left_semi")
+
+
 def scrub_dead_letters(dlq: DataFrame, keys: DataFrame, key: str = "vehicle_id") -> DataFrame:
     """Blank the payload and reason of dead letters whose payload names a requested key."""
-    named = F.trim(F.try_variant_get(F.try_parse_json("raw_payload"), f"$.{key}", "string"))
+    named = _named_key(key)
     hit = F.coalesce("_hit", F.lit(False))
     joined = dlq.withColumn(key, named).join(_requested(keys, key), key, "left")
     return joined.select(*[

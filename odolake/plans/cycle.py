@@ -8,16 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odolake import schemas as S
-from odolake.functions.timing import instant
+from odolake.functions.timing import instant, seconds
 from odolake.operators import alerting, cleaning, forest, health
 from odolake.operators.latest import latest_per_key
 from odolake.session import pinned
 from odolake.sources.store import Store, with_batch_ids
 
 
-def clean_batch(store: Store, batch_id: int, as_of, rows: int = S.BATCH_ROWS,
+HORIZON_DAYS = 30  # how far back scoring, training and alerting look
+
+
+def _horizon(as_of) -> datetime:
+    return as_of - timedelta(days=HORIZON_DAYS)
+
+
+def clean_batch(store: Store, batch_id: int, as_of, rows: int | None = None,
                 threshold: float = S.BREAKER_THRESHOLD) -> dict:
-    """Clean the next raw rows, unless too many of them fail. Returns the summary.
+    """Clean the new raw rows (the next ``rows`` if given), unless too many of them fail. Returns the summary.
 
     Progress covers rejected rows too, so they are read once; a tripped breaker writes
     nothing and leaves progress where it was.
@@ -25,7 +32,7 @@ def clean_batch(store: Store, batch_id: int, as_of, rows: int = S.BATCH_ROWS,
     done = store.read("silver_telemetry").select("bronze_id").unionByName(
         store.read("silver_rejects").select("bronze_id"))
     watermark = cleaning.progress(done).first().watermark
-    batch = cleaning.next_batch(store.read("bronze_telemetry"), watermark, rows)
+    batch = cleaning.next_batch(store.read("bronze_telemetry"), watermark, rows).where(F.col("vehicle_id") != S.ERASED)
     assessed = pinned(cleaning.assess(batch, store.read("vehicle_metadata")))
     totals = assessed.agg(*cleaning.failure_summary(threshold), F.max("id").alias("last")).first()
     summary = {k: totals[k] for k in ("records_read", "records_written", "records_failed", "circuit_open")}
@@ -39,10 +46,25 @@ def clean_batch(store: Store, batch_id: int, as_of, rows: int = S.BATCH_ROWS,
 
 def aggregate_batch(store: Store, batch_id: int, as_of: datetime, window_seconds: float = 30,
                     lookback_seconds: float = 300, unit_minutes: float = 1.0) -> DataFrame:
-    """Append the health snapshot at ``as_of``; the scan reads only the look-back's dates."""
+    """Append the health snapshot at ``as_of``, and the earlier windows that this cycle's rows fall into.
+
+    The latter are whole windows of the time grid; they keep a backlog from being lost to Gold.
+    """
+    window = timedelta(seconds=window_seconds)
     start = as_of - timedelta(seconds=max(lookback_seconds, window_seconds))
     recent = store.read("silver_telemetry", since=start)
-    gold = pinned(health.gold_snapshot(recent, as_of, window_seconds, lookback_seconds, unit_minutes))
+    gold = health.gold_snapshot(recent, as_of, window_seconds, lookback_seconds, unit_minutes)
+    late = store.read("silver_telemetry").where(
+        (F.col("processed_at") == instant(as_of)) & (F.col("event_timestamp") < instant(as_of - window)))
+    oldest = late.agg(F.min("event_timestamp").alias("t")).first().t
+    if oldest is not None:
+        rows = store.read("silver_telemetry").where(
+            F.col("event_timestamp") >= F.lit(oldest) - seconds(lookback_seconds + window_seconds))
+        grid = F.window("event_timestamp", f"{int(window_seconds)} seconds")
+        missed = late.select("vehicle_id", grid["start"].alias("window_start")).distinct()
+        slid = health.gold_sliding(rows, int(window_seconds), int(lookback_seconds), unit_minutes)
+        gold = gold.unionByName(slid.join(missed, ["vehicle_id", "window_start"], "left_semi").select(*gold.columns))
+    gold = pinned(gold)
     store.write_batch("gold_vehicle_health", gold, batch_id)
     return gold
 
@@ -50,7 +72,7 @@ def aggregate_batch(store: Store, batch_id: int, as_of: datetime, window_seconds
 def score_batch(store: Store, batch_id: int, as_of, live: forest.Forest,
                 candidate: forest.Forest | None = None) -> DataFrame:
     """Score the newest health row of every vehicle, with the candidate in shadow mode if given."""
-    gold = store.read("gold_vehicle_health").where(F.col("vehicle_id") != S.ERASED)
+    gold = store.read("gold_vehicle_health", since=_horizon(as_of)).where(F.col("vehicle_id") != S.ERASED)
     newest = latest_per_key(gold, "vehicle_id", "aggregated_at")
     rows = forest.predictions(newest, live, "production", as_of)
     if candidate is not None:
@@ -62,31 +84,59 @@ def score_batch(store: Store, batch_id: int, as_of, live: forest.Forest,
 
 def alert_batch(store: Store, batch_id: int, as_of, **rules) -> DataFrame:
     """Append the alerts due at ``as_of``."""
+    since = _horizon(as_of)
     new = alerting.raise_alerts(
-        store.read("predictions"), store.read("alerts"), store.read("gold_vehicle_health"), as_of, **rules)
+        store.read("predictions", since=since), store.read("alerts", since=since),
+        store.read("gold_vehicle_health", since=since), as_of, **rules)
     numbered = pinned(with_batch_ids(new, batch_id))
     store.write_batch("alerts", numbered, batch_id)
     return numbered
 
 
-def run_cycle(store: Store, batch_id: int, as_of, seed: int = 42, shadow_seed: int = 99, rows: int = S.BATCH_ROWS,
-              gold: dict | None = None, model: dict | None = None, alert: dict | None = None) -> dict:
-    """One evaluation cycle. A tripped breaker skips the stages after it."""
-    summary = clean_batch(store, batch_id, as_of, rows)
+def stored_model(store: Store, name: str, as_of, refit: bool, seed: int, **model) -> forest.Forest | None:
+    """The newest stored model; trained and stored if there is none yet, or if a refit is asked for."""
+    path = f"{store.root}/_models/{name}"
+    found = None if refit or not store._exists("_models", name, "models") else forest.load_forest(store.spark, path, as_of)
+    if found is None:
+        history = store.read("gold_vehicle_health", since=_horizon(as_of))
+        found = forest.fit_forest(history, as_of, seed=seed, **model)
+        if found is not None:
+            forest.save_forest(store.spark, found, path, as_of)
+    return found
+
+
+def run_cycle(store: Store, batch_id: int, as_of, seed: int = 42, shadow_seed: int = 99, rows: int | None = None,
+              gold: dict | None = None, model: dict | None = None, alert: dict | None = None, refit: bool = False) -> dict:
+    """One evaluation cycle. A tripped breaker skips the stages after it.
+
+    Models are trained once and then read from the store; ``refit`` trains them anew. A stage
+    that fails is named in ``errors`` and does not stop those after it, which work on what is stored.
+    """
+    summary: dict = {"errors": {}}
+
+    def stage(name: str, work):
+        try:
+            return work()
+        except Exception as error:  # noqa: BLE001 - the other stages go on
+            summary["errors"][name] = f"{type(error).__name__}: {str(error)[:500]}"
+            return None
+
+    summary |= stage("clean", lambda: clean_batch(store, batch_id, as_of, rows)) or {"circuit_open": False}
     if summary["circuit_open"]:
         return summary
-    aggregate_batch(store, batch_id, as_of, **(gold or {}))
-    history = store.read("gold_vehicle_health")
-    live = forest.fit_forest(history, as_of, seed=seed, **(model or {}))
+    stage("aggregate", lambda: aggregate_batch(store, batch_id, as_of, **(gold or {})))
+    live = stage("train", lambda: stored_model(store, "production", as_of, refit, seed, **(model or {})))
     if live is None:
         return summary
-    candidate = forest.fit_forest(history, as_of, seed=shadow_seed, **(model or {}))
-    scored = score_batch(store, batch_id, as_of, live, candidate)
-    raised = alert_batch(store, batch_id, as_of, **(alert or {}))
-    return summary | {
-        "predictions_written": scored.count(), "alerts_raised": raised.count(),
-        "anomalies_detected": scored.where("is_anomaly AND mode = 'production'").count(),
-    }
+    candidate = stage("train", lambda: stored_model(store, "shadow", as_of, refit, shadow_seed, **(model or {})))
+    scored = stage("score", lambda: score_batch(store, batch_id, as_of, live, candidate))
+    raised = stage("alert", lambda: alert_batch(store, batch_id, as_of, **(alert or {})))
+    if scored is not None:
+        summary["predictions_written"] = scored.count()
+        summary["anomalies_detected"] = scored.where("is_anomaly AND mode = 'production'").count()
+    if raised is not None:
+        summary["alerts_raised"] = raised.count()
+    return summary
 
 
 def replay(bronze: DataFrame, vehicles: DataFrame, **shape) -> tuple[DataFrame, DataFrame]:

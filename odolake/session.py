@@ -38,6 +38,7 @@ def local_session(app: str = "odolake", cores: int | str = "*", memory: str = "1
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .getOrCreate()
     )

@@ -1,7 +1,17 @@
-"""The layers as Parquet tables under one folder, partitioned by date and micro-batch."""
+"""The layers as Parquet tables under one folder, partitioned by date and micro-batch.
+
+A batch of a table is written once: a commit mark tells that it is complete, a repeated call
+then does nothing, and the leftovers of a broken attempt are removed before the next one. So
+streams, which read the tables as they grow, see every row once. Erasure replaces files under
+their own names: a stream that has read a file does not read it again, and one that has not
+reads the erased rows as such.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +48,7 @@ def with_batch_ids(rows: DataFrame, batch_id: int, column: str = "id") -> DataFr
 
 
 class Store:
-    """Named tables below ``root``; every write is an overwrite of its own batch's partitions."""
+    """Named tables below ``root``; a batch number is written to a table once."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -79,8 +89,26 @@ class Store:
             reader = reader.option(key, value)
         return reader.parquet(self.path(name)).select(*S.TABLES[name][0].names)
 
+    def _file(self, *parts: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _exists(self, *parts: str) -> bool:
+        path, files = self._file(*parts)
+        return files.exists(path)
+
+    def _mark(self, *parts: str) -> None:
+        path, files = self._file(*parts)
+        files.create(path, True).close()
+
+    def _matching(self, *parts: str) -> list:
+        path, files = self._file(*parts)
+        return [s.getPath() for s in files.globStatus(path) or []]
+
     def write_batch(self, name: str, rows: DataFrame, batch_id: int) -> None:
-        """Write the rows of one batch; doing it again replaces what the batch wrote before."""
+        """Write the rows of one batch; nothing happens if the table has that batch already."""
+        if self._exists("_commits", name, str(batch_id)):
+            return
         schema, time = S.TABLES[name]
         columns: list[Column] = []
         for f in schema.fields:
@@ -89,52 +117,98 @@ class Store:
         parts = ["event_date"] if time else []
         if time:
             columns.append(F.to_date(F.col(time)).alias("event_date"))
+        for left in self._matching(name, *(["event_date=*"] if time else []), f"batch_id={batch_id}"):
+            left.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(left, True)
         out = rows.select(*columns, F.lit(batch_id).cast("bigint").alias("batch_id"))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*parts, "batch_id").parquet(self.path(name)))
+        out.write.mode("append").partitionBy(*parts, "batch_id").parquet(self.path(name))
+        self._mark("_commits", name, str(batch_id))
 
     def seed_vehicles(self, new: DataFrame, batch_id: int) -> None:
         """Add the vehicles that are not known yet."""
         self.write_batch("vehicle_metadata", missing_keys(new, self.read("vehicle_metadata")), batch_id)
 
-    def _rewrite(self, name: str, change) -> None:
-        """Replace the partitions that ``change`` touches: staged first, then swapped in."""
-        layout, time = self._layout(name)
-        parts = (["event_date"] if time else []) + ["batch_id"]
-        current = self.spark.read.schema(layout).parquet(self.path(name))
-        fresh = staged(change(current, parts), f"rewrite-{name}")
-        (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*parts).parquet(self.path(name)))
+    def _stage_rewrite(self, name: str, is_hit: Callable, change: Callable, folder: str) -> list[tuple[str | None, str]]:
+        """New versions of the files with a hit, written aside: (new file or None if it is empty, its place)."""
+        data, _ = S.TABLES[name]
+        layout, _ = self._layout(name)
+        rows = self.spark.read.schema(layout).parquet(self.path(name)).withColumn("_file", F.col("_metadata.file_path"))
+        touched = sorted(r[0] for r in is_hit(rows).select("_file").distinct().collect())  # names of files
+        if not touched:
+            return []
+        slots = self.spark.createDataFrame(list(enumerate(touched)), "_slot INT, _file STRING")
+        mine = rows.join(F.broadcast(slots), "_file")  # one row per file
+        fresh = change(mine.select(*data.names, "_slot")).repartition(len(touched), "_slot")
+        fresh.write.partitionBy("_slot").parquet(f"{self.root}/{folder}/{name}")
+        new = {}
+        for path in self._matching(folder, name, "_slot=*", "part-*"):
+            new[int(path.getParent().getName().split("=")[1])] = path.toString()
+        return [(new.get(k), place) for k, place in enumerate(touched)]
 
     def erase(self, keys: DataFrame, requested_by: str, batch_id: int, erased_at=None) -> DataFrame:
         """Erase the known keys from every layer, log it, and return the log rows.
 
-        Only partitions that hold a requested key are rewritten. All new versions could be
-        staged before the first swap, but plain files have no transaction over several
-        tables: after a crash the same call is repeated, which is safe, as an erased row no
-        longer matches. The counts are stored before anything changes.
+        Only files that hold a requested key are rewritten. The new versions of all tables, the
+        list of swaps and the log are written first. From then on the erasure is certain: if
+        it is interrupted between two swaps, ``recover`` (which the next erasure calls) finishes it,
+        with the counts taken before anything changed.
         """
+        self.recover()
+        work = f"_erasure/{batch_id}-{uuid.uuid4().hex}"
         known = staged(erasure.known_keys(keys, self.read("vehicle_metadata")), "erasure-keys")
         layers = {name: self.read(name) for name in erasure.COUNTED}
-        log = staged(
-            erasure.audit_rows(erasure.affected_counts(layers, known), requested_by, instant(erased_at)), "erasure-log"
-        )
-        for name in erasure.BLANKED:
-            def blank(df: DataFrame, parts: list[str], table: str = name) -> DataFrame:
-                touched = df.join(known, "vehicle_id", "left_semi").select(*parts).distinct()
-                return erasure.erase(df.join(touched, parts, "left_semi").select(*df.columns), known, table)
+        log = erasure.audit_rows(erasure.affected_counts(layers, known), requested_by, instant(erased_at))
+        swaps: list[tuple[str | None, str]] = []
 
-            self._rewrite(name, blank)
-        self._rewrite("bronze_dlq", lambda df, _: erasure.scrub_dead_letters(df, known))
-        self._drop_vehicles(known, batch_id)
+        def holds(rows: DataFrame) -> DataFrame:
+            return rows.join(known, "vehicle_id", "left_semi")
+
+        for name in erasure.BLANKED:
+            swaps += self._stage_rewrite(name, holds, lambda df, table=name: erasure.erase(df, known, table), work)
+        swaps += self._stage_rewrite(
+            "bronze_dlq", lambda df: erasure.naming(df, known), lambda df: erasure.scrub_dead_letters(df, known), work)
+        swaps += self._stage_rewrite("vehicle_metadata", holds, lambda df: erasure.without_keys(df, known), work)
+        self.spark.createDataFrame(swaps, "new STRING, place STRING").coalesce(1).write.parquet(f"{self.root}/{work}/swaps")
+        log.coalesce(1).write.parquet(f"{self.root}/{work}/log")
+        path, files = self._file(work, "batch")
+        out = files.create(path, True)
+        out.writeLong(batch_id)
+        out.close()
+        self._mark(work, "ready")
+        return self._finish(work)
+
+    def _finish(self, work: str) -> DataFrame:
+        """Swap what is not swapped yet, write the log and drop the work folder; safe to repeat."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+
+        def at(text: str):
+            return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(text))
+
+        for swap in self.spark.read.parquet(f"{self.root}/{work}/swaps").collect():  # a row per file
+            place = at(swap.place)
+            files = place.getFileSystem(conf)
+            new = at(swap.new) if swap.new else None
+            if new is None or files.exists(new):
+                files.delete(place, False)
+                if new is not None and not files.rename(new, place):
+                    raise OSError(f"cannot put {swap.new} in its place")
+        path, files = self._file(work, "batch")
+        source = files.open(path)
+        batch_id = source.readLong()
+        source.close()
+        log = staged(self.spark.read.parquet(f"{self.root}/{work}/log"), "erasure-log")
         self.write_batch("erasure_log", log, batch_id)
+        folder, files = self._file(work)
+        files.delete(folder, True)
         return log
 
-    def _drop_vehicles(self, keys: DataFrame, batch_id: int) -> None:
-        kept = staged(erasure.without_keys(self.read("vehicle_metadata"), keys), "vehicles")
-        out = kept.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(
-            self.path("vehicle_metadata"))
+    def recover(self) -> None:
+        """Finish erasures that were interrupted, and drop those that had not become certain."""
+        for folder in self._matching("_erasure", "*"):
+            work = f"_erasure/{folder.getName()}"
+            if self._exists(work, "ready"):
+                self._finish(work)
+            else:
+                folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     def purge(self, name: str, as_of, keep: str) -> None:
         """Drop whole date partitions older than ``keep``; metadata work, no row is read."""

@@ -64,7 +64,8 @@ def silver_query(store: Store, checkpoint: str, interval: str | None = "30 secon
         raise ValueError(f"on_trip must be 'fail' or 'quarantine', not {on_trip!r}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = pinned(cleaning.assess(batch, store.read("vehicle_metadata")))
+        named = batch.where(F.col("vehicle_id") != S.ERASED)  # erased before it was read
+        rows = pinned(cleaning.assess(named, store.read("vehicle_metadata")))
         summary = cleaning.batch_summary(rows, threshold, by=None).first()
         now = F.current_timestamp()
         if summary.circuit_open:

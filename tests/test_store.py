@@ -33,7 +33,7 @@ def test_seeding_adds_only_new_keys(spark, store):
     assert sorted(r.vehicle_id for r in store.read("vehicle_metadata").collect()) == ["VF-001", "VF-002", "VF-003"]
 
 
-def test_retried_batch_replaces_itself(spark, store):
+def test_a_retried_batch_is_written_once(spark, store):
     rows = bronze_rows(spark, [(1, "VF-001", ago(seconds=9), 75.0)])
     for _ in range(2):
         store.write_batch("bronze_telemetry", rows, 5)
@@ -79,10 +79,12 @@ def test_injected_fault_alerts_within_three_cycles_and_erasure(spark, store):
     assert store.read("predictions").where("mode = 'shadow'").count() == 36
 
     before = {n: store.read(n).count() for n in S.TABLES}
+    healthy = store.read("gold_vehicle_health").where("vehicle_id = 'VF-001'").count()  # three snapshots and the backlog
+    assert healthy > 3
     keys = spark.createDataFrame([("VF-001",), ("VF-777",)], "vehicle_id STRING")
     log = store.erase(keys, "officer", 9, NOW).first()
     assert (log.vehicle_id, log.bronze_count, log.silver_count, log.gold_count, log.prediction_count) == (
-        "VF-001", 26 - 1, 26 - 1, 3, 6)
+        "VF-001", 26 - 1, 26 - 1, healthy, 6)
     assert log.alert_count == store.read("alerts").where(F.col("vehicle_id") == S.ERASED).count() >= 1
     for name in S.TABLES:
         if name == "erasure_log":
@@ -99,7 +101,7 @@ def test_injected_fault_alerts_within_three_cycles_and_erasure(spark, store):
 
 def test_erasure_scrubs_dead_letters_and_purge_drops_old_dates(spark, store):
     dlq = spark.createDataFrame(
-        [(1, ago(days=40), changed(battery_pct=999), "r", None), (2, NOW, json.dumps({"vehicle_id": "VF-002"}), "r", None),
+        [(1, ago(days=40), changed(battery_pct=640, vehicle_id="VF-001"), "r", None), (2, NOW, json.dumps({"vehicle_id": "VF-002"}), "r", None),
          (3, NOW, "not json", "r", None)], S.DLQ)
     store.write_batch("bronze_dlq", dlq, 1)
     store.erase(spark.createDataFrame([("VF-001",)], "vehicle_id STRING"), "x", 2, NOW)
@@ -109,14 +111,92 @@ def test_erasure_scrubs_dead_letters_and_purge_drops_old_dates(spark, store):
     assert {r.id for r in store.read("bronze_dlq").collect()} == {2, 3}
 
 
+def test_a_backlog_reaches_gold(spark, store):
+    """Far more rows than one window holds, cleaned in one cycle: each is averaged somewhere."""
+    rows = [(i, "VF-001", NOW - timedelta(seconds=5 * i + 1), 60.0) for i in range(1, 1300)]
+    store.write_batch("bronze_telemetry", bronze_rows(spark, rows), 1)
+    summary = cycle.run_cycle(store, 1, NOW)
+    assert summary["records_written"] == 1299 and not summary["errors"]
+    gold = store.read("gold_vehicle_health")
+    missed = gold.where(F.col("window_end") <= F.lit(NOW))
+    assert missed.agg(F.sum("record_count")).first()[0] >= 1299
+    assert gold.dropDuplicates(["vehicle_id", "window_start"]).count() == gold.count()
+
+
+def test_a_failing_stage_is_named_and_does_not_stop_the_others(spark, store, monkeypatch):
+    gold = spark.range(40).select(
+        F.format_string("VF-%03d", F.col("id") % 2 + 1).alias("vehicle_id"),
+        (F.lit(NOW) - F.make_dt_interval(secs=30 * F.col("id") + 30)).alias("window_start"), F.lit(NOW).alias("window_end"),
+        (F.lit(NOW) - F.make_dt_interval(secs=30 * F.col("id"))).alias("aggregated_at"),
+        *[(F.rand(k) * 10).alias(f) for k, f in enumerate(S.FEATURES)])
+    store.write_batch("gold_vehicle_health", gold, 1)
+
+    def broken(*args, **kw):
+        raise RuntimeError("no space")
+
+    monkeypatch.setattr(cycle, "aggregate_batch", broken)
+    first = cycle.run_cycle(store, 2, NOW, model={"trees": 5})
+    assert set(first["errors"]) == {"aggregate"} and first["predictions_written"] == 4
+    trained = spark.read.parquet(f"{store.root}/_models/production/models").count()
+    cycle.run_cycle(store, 3, NOW + timedelta(seconds=30), model={"trees": 5})
+    assert spark.read.parquet(f"{store.root}/_models/production/models").count() == trained == 1
+
+
+def silver_stream(store, checkpoint):
+    q = jobs.silver_query(store, str(checkpoint), None)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    rows = store.read("silver_telemetry").select("bronze_id").collect()
+    assert len(rows) == len(set(rows)) and store.read("silver_rejects").count() == 0
+    return len(rows)
+
+
+def test_streams_read_no_row_twice_after_erasure_and_retry(spark, store, tmp_path):
+    def batch(n):
+        return bronze_rows(spark, [(20 * n + i, f"VF-00{1 + i % 2}", ago(seconds=i), 70.0) for i in range(20)])
+
+    store.write_batch("bronze_telemetry", batch(0), 1)
+    assert silver_stream(store, tmp_path / "c") == 20
+    store.erase(spark.createDataFrame([("VF-001",)], "vehicle_id STRING"), "x", 2, NOW)
+    assert silver_stream(store, tmp_path / "c") == 20
+    store.write_batch("bronze_telemetry", batch(0), 1)  # the same batch again
+    assert silver_stream(store, tmp_path / "c") == 20
+    assert store.read("bronze_telemetry").count() == 20
+    assert store.read("silver_telemetry").where(F.col("vehicle_id") == S.ERASED).count() == 10
+
+
+def test_an_interrupted_erasure_is_finished_with_its_first_counts(spark, store, monkeypatch):
+    rows = bronze_rows(spark, [(i, f"VF-00{1 + i % 2}", ago(seconds=i), 70.0) for i in range(1, 11)])
+    store.write_batch("bronze_telemetry", rows, 1)
+    cycle.clean_batch(store, 1, NOW)
+    keys = spark.createDataFrame([("VF-001",)], "vehicle_id STRING")
+    write = Store.write_batch
+
+    def stop(self, name, *args):
+        if name == "erasure_log":
+            raise RuntimeError("stopped")
+        return write(self, name, *args)
+
+    monkeypatch.setattr(Store, "write_batch", stop)
+    with pytest.raises(RuntimeError, match="stopped"):
+        store.erase(keys, "x", 7, NOW)
+    assert store.read("erasure_log").count() == 0
+    monkeypatch.setattr(Store, "write_batch", write)
+    store.recover()
+    log = store.read("erasure_log").first()
+    assert (log.vehicle_id, log.bronze_count, log.silver_count) == ("VF-001", 5, 5)
+    assert store.read("silver_telemetry").where("vehicle_id = 'VF-001'").count() == 0
+    assert store.erase(keys, "x", 8, NOW).count() == 0 and store.read("erasure_log").count() == 1
+
+
 # --- streams ------------------------------------------------------------------
 
 def test_stream_from_text_to_gold(spark, store, tmp_path):
     inbox = tmp_path / "inbox"
     inbox.mkdir()
-    good = [changed(event_timestamp=(NOW + timedelta(seconds=s)).isoformat(), battery_pct=90 - s / 60)
+    good = [changed(vehicle_id="VF-001", event_timestamp=(NOW + timedelta(seconds=s)).isoformat(), battery_pct=90 - s / 60)
             for s in range(0, 600, 20)]
-    (inbox / "a.txt").write_text("\n".join([*good, changed(battery_pct=999), "not json {{{"]))
+    (inbox / "a.txt").write_text("\n".join([*good, changed(battery_pct=640), "{"]))
     arrival = F.lit(NOW + timedelta(seconds=600))
 
     def run():
