@@ -48,22 +48,41 @@ def json_type(text: Column) -> Column:
     )
 
 
+_MARK = "\0"  # where the failing number goes in a reason
+
+# what JSON itself allows, and no more
+_STRICT = {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false"}
+
+
+def _field(name: str) -> Column:
+    return F.col(f"_d_{name}")
+
+
+def _string(name: str) -> Column:
+    return F.try_variant_get(_field(name), "$", "string")
+
+
 def _typed(rule: S.FieldRule) -> Column:
     """The field's value in its expected type, NULL where it has none."""
-    text = F.col(f"_t_{rule.name}")
+    kind = F.col(f"_k_{rule.name}")
     if rule.kind == "string":
-        return F.btrim(F.col(f"_s_{rule.name}"), F.lit(BLANKS))
+        return F.when(kind == "STRING", F.btrim(_string(rule.name), F.lit(BLANKS)))
     if rule.kind == "boolean":
-        return F.when(text == "true", F.lit(True)).when(text == "false", F.lit(False))
-    bare = F.btrim(F.coalesce(F.col(f"_s_{rule.name}"), text), F.lit(BLANKS))
+        return F.when(kind == "BOOLEAN", F.try_variant_get(_field(rule.name), "$", "boolean"))
+    bare = F.btrim(_string(rule.name), F.lit(BLANKS))
     number = F.when(bare.rlike(_NUMBER_TEXT), F.nullif(
         F.replace(bare, F.lit("_"), F.lit("")).try_cast("double"), F.lit(float("nan"))))
-    return F.coalesce(number, F.when(text == "true", 1.0), F.when(text == "false", 0.0))
+    return (
+        F.when(kind == "STRING", number)
+        .when(kind == "BOOLEAN", F.try_variant_get(_field(rule.name), "$", "boolean").cast("double"))
+        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.lit(None).cast("double"))
+        .otherwise(F.try_variant_get(_field(rule.name), "$", "double"))
+    )
 
 
 def _field_reason(rule: S.FieldRule) -> Column:
-    text, value = F.col(f"_t_{rule.name}"), F.col(f"_v_{rule.name}")
-    absent = text.isNull() | (text == "null")
+    kind, value = F.col(f"_k_{rule.name}"), F.col(f"_v_{rule.name}")
+    absent = kind.isNull() | (kind == "VOID")
     checks = []
     if rule.required:
         checks.append(F.when(absent, f"missing_field:{rule.name}"))
@@ -71,19 +90,13 @@ def _field_reason(rule: S.FieldRule) -> Column:
     if rule.kind == "double":
         untyped = F.lit(f"invalid_type:{rule.name}:cannot_coerce_to_{label}")
     else:
-        untyped = F.concat(F.lit(f"invalid_type:{rule.name}:expected_{label}:got_"), json_type(text))
+        untyped = F.concat(
+            F.lit(f"invalid_type:{rule.name}:expected_{label}:got_"), json_type(F.to_json(_field(rule.name))))
     checks.append(F.when(~absent & value.isNull(), untyped))
-    shown = number_text(value) if rule.kind == "double" else value
     if rule.low is not None:
-        checks.append(
-            F.when(value < F.lit(rule.low),
-                   F.concat(F.lit(f"out_of_range:{rule.name}:"), shown, F.lit(f"<min({rule.low})")))
-        )
+        checks.append(F.when(value < F.lit(rule.low), f"out_of_range:{rule.name}:{_MARK}<min({rule.low})"))
     if rule.high is not None:
-        checks.append(
-            F.when(value > F.lit(rule.high),
-                   F.concat(F.lit(f"out_of_range:{rule.name}:"), shown, F.lit(f">max({rule.high})")))
-        )
+        checks.append(F.when(value > F.lit(rule.high), f"out_of_range:{rule.name}:{_MARK}>max({rule.high})"))
     return F.coalesce(*checks)
 
 
@@ -110,32 +123,23 @@ def inspect(
     kept = [F.col(c) for c in events.columns]
 
     size = F.octet_length(body)
-    # the parser never sees a text that is refused for its size
-    parsed = computed_once(
-        events, F.when((size > 0) & (size <= max_bytes), F.try_parse_json(body)).alias("_doc")
-    )
-    # each field as JSON text: its first character tells the type, and a number is read
-    # from it by a plain cast
-    texts = computed_once(
-        parsed,
-        *[F.to_json(F.try_variant_get(F.col("_doc"), f"$.{r.name}", "variant")).alias(f"_t_{r.name}") for r in rules],
-    )
-    strings = [
-        F.when(F.col(f"_t_{r.name}").startswith('"'), F.try_variant_get(F.col("_doc"), f"$.{r.name}", "string"))
-        .alias(f"_s_{r.name}")
-        for r in rules if r.kind != "boolean"
-    ]
-    decoded = computed_once(texts, *strings)
+    # the parser never sees a text that is refused for its size; the document keeps its
+    # fields as variants, from which type and value are read without another parse
+    small = F.when((size > 0) & (size <= max_bytes), body)
+    document = F.from_json(small, ", ".join(f"`{r.name}` variant" for r in rules), _STRICT)
+    parsed = events.select("*", F.inline(F.array(document)).alias(*[f"_d_{r.name}" for r in rules]))
+    kinds = computed_once(parsed, F.try_parse_json(small).isNotNull().alias("_valid"), *[F.schema_of_variant(_field(r.name)).alias(f"_k_{r.name}") for r in rules])
     values = computed_once(
-        decoded, *[_typed(r).alias(f"_v_{r.name}") for r in rules],
-        parse_iso(F.btrim(F.col(f"_s_{time_field}"), F.lit(BLANKS))).alias("_when"),
+        kinds, *[_typed(r).alias(f"_v_{r.name}") for r in rules],
+        F.when(F.col(f"_k_{key}") == "STRING", _string(key)).alias("_sent"),
     )
+    values = computed_once(values, parse_iso(F.col(f"_v_{time_field}")).alias("_when"))
 
-    sent_key = F.col(f"_s_{key}")
+    sent_key = F.col("_sent")
     entry = F.coalesce(
         F.when(size > max_bytes, OVERSIZE),
         F.when(body.isNull() | (size == 0), "empty_body"),
-        F.when(F.col("_doc").isNull(), "invalid_json"),
+        F.when(~F.col("_valid"), "invalid_json"),
         F.when(~body.rlike(r"^\s*\{"), "invalid_format:payload_must_be_json_object"),
         F.when(sent_key.isNull() | (sent_key == ""), f"missing_field:{key}"),
     )
@@ -149,13 +153,20 @@ def inspect(
                F.concat(F.lit(f"invalid_{key}:"), ident, F.lit(f":must_match_{key_hint}"))),
     ]
     flagged = computed_once(values, entry.alias("entry_reason"))
+    flagged = computed_once(flagged, F.coalesce(F.col("entry_reason"), *after).alias("_why"))
+    failing = F.coalesce(*[
+        F.when(F.col("_why").startswith(f"out_of_range:{r.name}:"), F.col(f"_v_{r.name}"))
+        for r in rules if r.kind == "double"])
+    ranged = F.contains(F.col("_why"), F.lit(_MARK))
+    flagged = computed_once(flagged, F.when(ranged, failing).alias("_number"))
+    reason = F.when(ranged, F.replace(F.col("_why"), F.lit(_MARK), number_text(F.col("_number")))).otherwise(F.col("_why"))
     fields = [
         (F.col("_when") if r.name == time_field else F.col(f"_v_{r.name}")).alias(r.name) for r in rules
     ]
     return flagged.select(
         *kept, *fields, "entry_reason",
         F.when(F.col("entry_reason").isNull(), sent_key).alias("limiter_key"),
-        F.coalesce(F.col("entry_reason"), *after).alias("reason"),
+        reason.alias("reason"),
     )
 
 
