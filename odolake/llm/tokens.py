@@ -22,7 +22,7 @@ _LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
 _MARKS = r"!-/:-@\[-`{-~"
 BYTE_LEVEL = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|[ \n\t\r]+(?![^ \n\t\r])|[ \n\t\r]+")
-WORD_LEVEL = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[{_MARKS}]+|[ \n\t\r]+")
+WORD_LEVEL = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[{_MARKS}]+")  # drops blanks
 
 
 class Encoder:
@@ -65,14 +65,17 @@ class Encoder:
     def _group(self, texts: list[str]) -> list[bytes]:
         flat = [t.lower() for t in texts] if self.lower else texts
         cut = [self.pattern.findall(t) for t in flat]
-        plain = [sum(map(len, parts)) == len(t) for parts, t in zip(cut, flat)]
+        blanks = (lambda t: sum(map(t.count, " \n\t\r"))) if self.lower else (lambda t: 0)
+        plain = [sum(map(len, parts)) + blanks(t) == len(t) for parts, t in zip(cut, flat)]
         new = set().union(*[parts for parts, ok in zip(cut, plain) if ok]).difference(self.known)
-        if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known.clear()
-            new = set().union(*[parts for parts, ok in zip(cut, plain) if ok])
+        full = len(self.known) + len(new) > CACHE_ENTRIES
         self._learn(new)
         get = self.known.__getitem__
-        return [b"".join(map(get, parts)) if ok else self._whole([t])[0] for parts, ok, t in zip(cut, plain, texts)]
+        out = [b"".join(map(get, parts)) if ok else self._whole([t])[0] for parts, ok, t in zip(cut, plain, texts)]
+        if full:  # the words met first are mostly the frequent ones; later ones are not kept
+            for part in new:
+                del self.known[part]
+        return out
 
     def __call__(self, texts: Sequence) -> list[bytes]:
         """The ids of each text; anything but a string counts as an empty text."""
