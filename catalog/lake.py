@@ -101,6 +101,11 @@ class Lake:
     def alerts(self) -> DataFrame:
         return alerting.with_causes(alerting.replay_alerts(self.predictions, 2, QUIET_HOURS, 1.2), self.stored_gold)
 
+    def store_layers(self) -> None:
+        """Write every layer once, as a running lake has them; reports then read stored tables."""
+        for name in ("bronze", "vehicles", "silver", "stored_gold", "predictions", "alerts", "dlq"):
+            self.__dict__[name] = staged(getattr(self, name), name)
+
     @property
     def tables(self) -> Mapping[str, DataFrame]:
         return _Tables(self)

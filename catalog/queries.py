@@ -21,10 +21,12 @@ from odolake.streaming import jobs, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+BUILDS: dict[str, Callable[[Lake], DataFrame]] = {}
 
 
 def query(build: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
     """Register ``build`` under its own name."""
+    BUILDS[build.__name__] = build
     QUERIES[build.__name__] = lambda spark, sf_dir: plain(build(Lake(spark, sf_dir)))
     return build
 

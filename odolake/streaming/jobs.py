@@ -16,7 +16,7 @@ from odolake.operators import cleaning, forest, health, ingest, validation
 from odolake.operators.alerting import with_causes
 from odolake.session import pinned
 from odolake.sources.store import Store, with_batch_ids
-from odolake.streaming.stateful import alert_stream
+from odolake.streaming.stateful import alert_stream, gated_events
 
 
 class CircuitOpen(RuntimeError):
@@ -41,16 +41,21 @@ def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> S
 
 
 def ingest_query(events: DataFrame, store: Store, checkpoint: str, interval: str | None = "30 seconds",
-                 **rules) -> StreamingQuery:
-    """Validate, then write accepted and refused events as two outputs of one micro-batch."""
+                 capacity: int | None = 3, refill_per_second: float = 0.25, **rules) -> StreamingQuery:
+    """Limit and validate, then write accepted and refused events as two outputs of one micro-batch.
+
+    Events over the limit are dropped, not dead-lettered; ``capacity=None`` switches the limiter off.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         numbered = with_batch_ids(batch, batch_id)
-        routed = pinned(validation.inspect(numbered, **rules).withColumn("outcome", ingest.outcome()))
+        allowed = F.col("allowed") if "allowed" in batch.columns else None
+        routed = pinned(validation.inspect(numbered, **rules).withColumn("outcome", ingest.outcome(allowed)))
         store.write_batch("bronze_telemetry", ingest.accepted_rows(routed), batch_id)
         store.write_batch("bronze_dlq", ingest.dead_letters(routed), batch_id)
 
-    return _start(events.writeStream.foreachBatch(write), checkpoint, interval)
+    rows = events if capacity is None else gated_events(events, capacity, refill_per_second, **rules)
+    return _start(rows.writeStream.foreachBatch(write), checkpoint, interval)
 
 
 def silver_query(store: Store, checkpoint: str, interval: str | None = "30 seconds",

@@ -200,7 +200,8 @@ def test_stream_from_text_to_gold(spark, store, tmp_path):
     arrival = F.lit(NOW + timedelta(seconds=600))
 
     def run():
-        for start in (lambda: jobs.ingest_query(jobs.raw_text(spark, str(inbox), arrival), store, str(tmp_path / "c1"), None),
+        for start in (lambda: jobs.ingest_query(
+                          jobs.raw_text(spark, str(inbox), arrival), store, str(tmp_path / "c1"), None, capacity=None),
                       lambda: jobs.silver_query(store, str(tmp_path / "c2"), None),
                       lambda: jobs.gold_query(store, str(tmp_path / "c3"), None, lateness="10 seconds")):
             q = start()
@@ -220,6 +221,21 @@ def test_stream_from_text_to_gold(spark, store, tmp_path):
         r[:2] for r in map(tuple, batch.orderBy(F.desc("window_start")).limit(11).collect())}
 
 
+def test_the_limiter_stands_before_the_field_checks_of_a_stream(spark, store, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    lines = [changed(vehicle_id="VF-001", speed_kmh=k) for k in range(6)] + [changed(vehicle_id="VF-002", battery_pct=640), "{"]
+    (inbox / "a.txt").write_text("\n".join(lines))
+    events = jobs.raw_text(spark, str(inbox), F.lit(NOW)).withColumn("client_ip", F.lit("10.0.0.9"))
+    q = jobs.ingest_query(events, store, str(tmp_path / "c"), None)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    assert store.read("bronze_telemetry").count() == 3  # of six, the capacity
+    refused = store.read("bronze_dlq").collect()
+    assert sorted(r.error_reason.split(":")[0] for r in refused) == ["invalid_json", "out_of_range"]
+    assert {r.client_ip for r in refused} == {"10.0.0.9"}
+
+
 def test_open_breaker_stops_the_stream_or_sets_the_batch_aside(spark, store, tmp_path):
     store.write_batch("bronze_telemetry", bronze_rows(
         spark, [(i, "VF-001", ago(seconds=9), 999.0 if i < 9 else 50.0) for i in range(10)]), 1)
