@@ -479,6 +479,11 @@ ORACLES: dict[str, str] = {
     "m2_scaler": WITH + GOLD + " SELECT count(*) AS rows_read, count(*) AS rows_complete, " + ", ".join(
         f"round(avg({f}), 6) AS mean_{f}, round(stddev_pop({f}), 6) AS dev_{f}" for f in S.FEATURES) + " FROM gold",
     "a13_threshold": WITH + GOLD + " SELECT round(quantile_cont(health_score, 0.05), 6) AS threshold FROM gold",
+    "m3_forest_shape": WITH + GOLD + """, n AS (SELECT least(256, count(*)) AS psi FROM gold) SELECT 100 AS trees,
+        psi AS smallest_root, psi AS largest_root, psi AS fewest_in_leaves, psi AS most_in_leaves, 1 AS depth_bounded FROM n""",
+    "m5_labels": WITH + GOLD + """ SELECT count(*) AS rows, count(*) AS scored, 0 AS wrong_labels, 1 AS share_holds FROM gold""",
+    "m7_rows_per_mode": WITH + GOLD + """ SELECT mode, count(DISTINCT vehicle_id) AS rows, count(DISTINCT vehicle_id) AS vehicles
+        FROM gold, (SELECT unnest(['production', 'shadow']) AS mode) m GROUP BY mode""",
     "m8_top_features": WITH + GOLD + ", " + FLEET + " SELECT vehicle_id, top_features FROM causes",
     "w5_consecutive": WITH + RUNS + f""" SELECT vehicle_id, {_ts('window_start')} AS window_start, CAST(is_anomaly AS INTEGER) AS is_anomaly,
         CAST(confirmed AS INTEGER) AS confirmed, {_ts('run_started_at')} AS run_started_at FROM runs""",

@@ -328,6 +328,36 @@ def m3_forest_nodes(t: Lake) -> DataFrame:
     return t.spark.createDataFrame(_fit(t).nodes, forest.NODES)
 
 
+@query
+def m3_forest_shape(t: Lake) -> DataFrame:
+    """What must hold for every tree: the root holds the sample, the leaves share it out, the depth is bounded."""
+    leaf = F.col("feature") < 0
+    tree = m3_forest_nodes(t).groupBy("tree").agg(
+        F.max(F.when(F.col("depth") == 0, F.col("size"))).alias("root"), F.sum(F.when(leaf, F.col("size"))).alias("leaves"),
+        F.max("depth").alias("deepest"))
+    return tree.agg(
+        F.count("*").alias("trees"), F.min("root").alias("smallest_root"), F.max("root").alias("largest_root"),
+        F.min("leaves").alias("fewest_in_leaves"), F.max("leaves").alias("most_in_leaves"),
+        (F.max("deepest") <= F.ceil(F.log2(F.max("root")))).alias("depth_bounded"))
+
+
+@query
+def m5_labels(t: Lake) -> DataFrame:
+    """Every row has a score, a label that follows its sign, and about the contamination's share is flagged."""
+    rows = m4_scores(t)
+    flagged = F.count_if("is_anomaly") / F.count("*")
+    return rows.agg(
+        F.count("*").alias("rows"), F.count("anomaly_score").alias("scored"),
+        F.count_if((F.col("anomaly_score") < 0) & ~F.col("is_anomaly")).alias("wrong_labels"),
+        (F.abs(flagged - S.CONTAMINATION) < 0.01).alias("share_holds"))
+
+
+@query
+def m7_rows_per_mode(t: Lake) -> DataFrame:
+    return m7_shadow_union(t).groupBy("mode").agg(
+        F.count("*").alias("rows"), F.countDistinct("vehicle_id").alias("vehicles"))
+
+
 @query
 def m4_scores(t: Lake) -> DataFrame:
     return forest.score(t.stored_gold, _fit(t)).select("vehicle_id", "window_start", "anomaly_score", "is_anomaly")
