@@ -29,7 +29,7 @@ from odolake.llm.common import hidden
 from odolake.llm.tokens import BYTE_LEVEL, encoder
 from odolake.session import staging_path
 
-ROWS_PER_FILE = 65_536
+ROWS_PER_FILE = 16_384
 NO_ID = np.iinfo(np.int64).min
 READ_ROWS = 2_000  # documents per batch when reading back
 
