@@ -20,7 +20,8 @@ def training_sample(
 ) -> DataFrame:
     """``d, t, y`` of about ``max_rows`` labelled documents (all if there are fewer) outside the fold kept aside.
 
-    The choice goes by a hash of the id. A document with several labels counts as the higher one.
+    The choice goes by a hash of the id, and equal texts are taken once. A document with several
+    labels counts as the higher one.
     """
     known = labels.where(F.col(label).isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("d")).agg(F.max(label).cast("int").alias("y"))
@@ -29,4 +30,5 @@ def training_sample(
     known = known.where(F.pmod(F.xxhash64(F.lit(3), "d"), F.lit(parts)) < int(share * parts))
     rows = docs.select(F.col(id_col).alias("d"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     # the sample has about max_rows short rows, however large the tables are
-    return staged(rows.join(F.broadcast(known), "d").select("d", "t", "y"), f"sample-{label}")
+    sample = rows.join(F.broadcast(known), "d").select("d", "t", "y")
+    return staged(sample.dropDuplicates(["t"]), f"sample-{label}")  # copies are no further evidence

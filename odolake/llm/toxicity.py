@@ -28,6 +28,7 @@ MAX_ROWS = 20_000  # labelled rows that are learnt from
 MAX_TERMS = 5_000
 MIN_DOCS = 5  # toxic documents that must hold a term
 MIN_EVIDENCE = 30.0  # log-likelihood ratio of a term
+MIN_SHARE = 0.01  # of the ratio that a term of all toxic documents and no other would have
 MIN_WEIGHT = 1.0
 BEGINNINGS = (4, 5, 6)
 MAX_PHRASES = 5_000
@@ -171,8 +172,9 @@ def learn(sample: DataFrame) -> Lexicon:
     n, base = F.col("pos") + F.col("neg"), pos_all / (pos_all + neg_all)
     evidence = 2 * (F.col("pos") * F.log(F.greatest(F.col("pos"), F.lit(1)) / (n * base))
                     + F.col("neg") * F.log(F.greatest(F.col("neg"), F.lit(1)) / (n * (1 - base))))
+    least = max(MIN_EVIDENCE, MIN_SHARE * 2 * pos_all * math.log(1 / base))
     best = counts.where(F.col("pos") >= MIN_DOCS).select("term", weight.alias("w"), evidence.alias("e")).where(
-        (F.col("w") >= MIN_WEIGHT) & (F.col("e") >= MIN_EVIDENCE))
+        (F.col("w") >= MIN_WEIGHT) & (F.col("e") >= least))
     terms = [(r.term, r.w) for r in best.orderBy(F.desc("e"), "term").limit(MAX_TERMS).collect()]
     lexicon = Lexicon({t[1:]: w for t, w in terms if t[0] == "="}, {t: w for t, w in terms if t[0] != "="})
 
