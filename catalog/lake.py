@@ -26,6 +26,12 @@ QUIET_HOURS = 96
 PRODUCTION_CUT, SHADOW_CUT = 80.0, 76.0
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a file too small for one split per core, dealt out before costly work; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Lake:
     """Layers of one data directory; each is a plain DataFrame, built when first asked for."""
 
@@ -42,7 +48,7 @@ class Lake:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return telemetry.raw_events(self.bronze)
+        return telemetry.raw_events(spread(self.bronze))
 
     @cached_property
     def inspected(self) -> DataFrame:
