@@ -9,6 +9,10 @@ driver as an index of at most ``INDEX_ROWS`` places. Between two places of the i
 greedy check is bracketed: cutting at known places only gives a feasible capacity, cutting
 anywhere a lower bound. The places that can still matter lie in one narrow stretch per
 shard; the index is refined there until both bounds meet. The answer is exact.
+
+The greedy check's cuts only prove the capacity: where one group is larger than an average
+shard they leave the last shards empty. The cuts that are used are, of all cuts at known
+places under that capacity, those with the least sum of squared shard sizes.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from odolake.llm.common import hidden, staged, text_key
 
 SHARDS = 40
 OVERHEAD = 16  # bytes that a document takes besides its text
-INDEX_ROWS = 100_000
+INDEX_ROWS = 100_000  # besides the places at groups larger than an average shard
 BUCKET_GROUPS = 20_000  # groups that one bucket of the running sum holds on average
 
 
@@ -55,6 +59,49 @@ class Places:
                 return None
         return None
 
+    def even(self, capacity: int, shards: int) -> list[int]:
+        """The end of each shard, none above ``capacity``, with the least sum of squared sizes.
+
+        One pass per shard over the places where it may end. The best place to begin a shard
+        never moves back as its end moves on, so each pass halves the distance of the ends
+        it has solved and looks between the beginnings of their neighbours only.
+        """
+        ends = np.concatenate([[0], self.ends])
+        first, last = [len(ends) - 1], [0]
+        for _ in range(shards):
+            first.append(int(np.searchsorted(ends, max(0, ends[first[-1]] - capacity))))
+            last.append(int(np.searchsorted(ends, ends[last[-1]] + capacity, side="right")) - 1)
+        first.reverse()
+        x, cost, begins = ends * (shards / ends[-1]), np.zeros(1), []
+        for k in range(shards):
+            at = np.arange(first[k + 1], last[k + 1] + 1)
+            low = np.maximum(first[k], np.searchsorted(ends, ends[at] - capacity))
+            high, least, begin = np.minimum(last[k], at), np.zeros(len(at)), np.zeros(len(at), np.int64)
+            step = 1 << len(at).bit_length()
+            while step:
+                mine = np.arange(step, len(at) + 1, 2 * step) - 1
+                step //= 2
+                if not len(mine):
+                    continue
+                far = 2 * step or 1
+                a, b = low[mine], high[mine]
+                a[1:] = np.maximum(a[1:], begin[mine[1:] - far])
+                solved = mine + far < len(at)
+                b[solved] = np.minimum(b[solved], begin[mine[solved] + far])
+                upto = np.cumsum(b - a + 1)
+                start = upto - (b - a + 1)
+                begin_at = np.arange(upto[-1]) - np.repeat(start - a, b - a + 1)
+                tried = cost[begin_at - first[k]] + (np.repeat(x[at[mine]], b - a + 1) - x[begin_at]) ** 2
+                least[mine] = np.minimum.reduceat(tried, start)
+                best = np.flatnonzero(tried == np.repeat(least[mine], b - a + 1))
+                begin[mine] = begin_at[best[np.searchsorted(best, upto) - 1]]  # the last one: empty shards come last
+            cost = least
+            begins.append(begin)
+        out = [len(ends) - 1]
+        for k in range(shards - 1, 0, -1):
+            out.append(int(begins[k][out[-1] - first[k + 1]]))
+        return [int(ends[k]) for k in reversed(out)]
+
     def smallest(self, shards: int, optimistic: bool, low: int, high: int) -> int:
         while low < high:
             middle = (low + high) // 2
@@ -98,13 +145,15 @@ def _index(groups: DataFrame, stretches: list[tuple[int, int]] | None, width: in
 def smallest_capacity(groups: DataFrame, shards: int, index_rows: int = INDEX_ROWS) -> tuple[int, list[int]]:
     """Capacity of the fullest shard and the running sum at the end of each shard.
 
-    ``groups`` has ``size`` and its running sum ``size_to``.
+    ``groups`` has ``size`` and its running sum ``size_to``. Groups larger than an average shard
+    do not count for the width of the index, so what lies between them is seen as finely without them.
     """
     whole = groups.agg(F.max("size_to").alias("total"), F.max("size").alias("most")).first()
     if not whole.total:
         return 0, []
     low, high = max(-(-whole.total // shards), whole.most), -(-whole.total // shards) + whole.most
-    stretches, width = None, max(1, whole.total // index_rows)
+    small = groups.where(F.col("size") <= whole.total // shards).agg(F.sum("size").alias("bytes")).first()
+    stretches, width = None, max(1, (small.bytes or 0) // index_rows)
     known = np.zeros((0, 2), np.int64)
     while True:
         fresh = _index(groups, stretches, width)
@@ -124,9 +173,8 @@ def smallest_capacity(groups: DataFrame, shards: int, index_rows: int = INDEX_RO
         places = Places(merged, dense)
         high = places.smallest(shards, False, low, high)
         low = places.smallest(shards, True, low, high)
-        cuts = places.cuts(high, shards, False)
         if low == high or width == 1:
-            return high, cuts
+            return high, places.even(high, shards)
         firm, far = places.cuts(low, shards, False) or [], places.cuts(high, shards, True)
         stretches = []
         for k, b in enumerate(far):

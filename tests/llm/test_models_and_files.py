@@ -78,6 +78,43 @@ def test_sharding_is_minimax(spark, n, shards, index):
     assert all(len(v) == 1 for v in shards_of.values())
 
 
+def squares(sizes, shards, capacity):
+    """The least sum of squared shard sizes under a capacity, by trying every cut."""
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    best = {0: 0}
+    for _ in range(shards):
+        best = {t: min(best[i] + (ends[t] - ends[i]) ** 2 for i in best if i <= t and ends[t] - ends[i] <= capacity)
+                for t in range(len(ends)) if any(i <= t and ends[t] - ends[i] <= capacity for i in best)}
+    return best[len(sizes)]
+
+
+def test_cuts_under_the_capacity_are_the_most_even():
+    r = random.Random(6)
+    for _ in range(60):
+        sizes = [int(r.paretovariate(0.8) * 5) for _ in range(r.randint(1, 40))]
+        shards = r.randint(1, 12)
+        capacity = least_capacity(sizes, shards)
+        cuts = sharding.Places(np.cumsum(sizes), np.zeros(len(sizes), bool)).even(capacity, shards)
+        fills = np.diff([0, *cuts])
+        assert len(cuts) == shards and cuts[-1] == sum(sizes) and fills.min() >= 0 and fills.max() <= capacity
+        assert (fills ** 2).sum() == squares(sizes, shards, capacity)
+        assert np.count_nonzero(fills) == min(shards, len(sizes)) and 0 not in fills[:np.count_nonzero(fills)]
+
+
+@pytest.mark.parametrize("times", [1.5, 2, 20, 2000])
+def test_a_hot_group_leaves_no_shard_empty(spark, times):
+    n, shards = 4000, 40
+    copies = int(times * n / (shards - times)) if times < shards / 2 else int(times * n)
+    rows = [(k, f"{k:032}") for k in range(n)] + [(n + k, "y" * 32) for k in range(copies)]
+    fill = Counter()
+    for x in sharding.shard(frame(spark, rows), shards).collect():
+        fill[x.shard] += x.size
+    *others, hot = sorted(fill.values())
+    assert len(fill) == shards and hot == 48 * copies  # as small as it can be
+    average = 48 * n / (shards - 1)
+    assert 0.9 * average < others[0] and others[-1] < 1.1 * average
+
+
 def test_sharding_edges(spark):
     assert sharding.shard(frame(spark, [])).count() == 0
     assert [x.shard for x in sharding.shard(frame(spark, [(1, None)] * 3), 2).collect()] == [0, 0, 0]
