@@ -1,10 +1,16 @@
-"""Packing of documents into sequences: best fit in each partition, then a tree of residual rounds.
+"""Packing of documents into sequences: best fit in each partition, then residual rounds.
 
 A document is its token ids and an end id. Only documents longer than a sequence are cut,
-into full pieces and a shorter last one. Each partition packs its pieces by best fit, the
-longest first. Nearly full bins are emitted; underfull bins become the items of the next
-round, where neighbouring partitions are merged, until one is left or a round gains nothing.
-A task packs at most ``BLOCK`` items at a time, so its memory does not depend on the input.
+into full pieces and a shorter last one. Pieces are dealt over the partitions whatever their
+order in the input, and each partition packs its own by best fit, the longest first. Nearly
+full bins are emitted; underfull bins become the items of the next round, until no two of
+them fit together.
+
+Two bins above half a sequence never fit together, and a packing leaves one bin of half a
+sequence or less at most. So a round takes the bins up to half, and as many of the others as
+there are of those, the emptiest: whatever could be merged with a fuller one could be merged
+with one of these. A task packs at most ``BLOCK`` items at a time, so its memory does not
+depend on the input.
 """
 
 from __future__ import annotations
@@ -19,12 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odolake.llm.common import staged
+from odolake.llm.sharding import numbered
 from odolake.llm.tokens import WORD_LEVEL, encoder
 
 CAPACITY = 2048
 SLACK = 16  # a bin with no more room than this is nearly full
 BLOCK = 200_000  # items that are packed together
-FAN_IN = 8  # partitions that meet in the next round
+DEALT = 25_000  # pieces of a partition in the first packing
 
 PIECE = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 
@@ -116,18 +123,24 @@ def pack(
     without gaps from offset 0. Missing and empty texts are a piece of one end id. Repeated
     rows are packed as often as they occur; other columns of ``docs`` are left out.
     """
-    first = staged(_round(pieces(docs, tokenizer, capacity, id_col, text, end_id), "length", capacity, 0), "packed")
+    cut = staged(pieces(docs, tokenizer, capacity, id_col, text, end_id), "pieces")
+    dealt = cut.repartition(max(1, -(-cut.count() // DEALT)))
+    first = staged(_round(dealt, "length", capacity, 0), "packed")
     placed: list[DataFrame] = []
-    rows, parts = first, first.rdd.getNumPartitions()
-    count = None
+    rows = first
     while True:
         underfull = (F.col("at") == 0) & (F.col("fill") < capacity - slack)  # the first item stands for its bin
         left = rows.where(underfull).select(F.col("bin").alias("id"), F.col("fill").alias("size"))
-        now = left.count()
-        if now < 2 or (count is not None and (parts == 1 or now > 0.95 * count)):
+        low = 2 * F.col("size") <= capacity
+        has = left.agg(F.count_if(low).alias("low"), F.min(F.when(low, F.col("size"))).alias("least"),
+                       F.min(F.when(~low, F.col("size"))).alias("next")).first()
+        if not has.low or has.low == 1 and (has.next is None or has.least + has.next > capacity):
             break
-        count, parts = now, max(1, parts // FAN_IN, -(-now // BLOCK))
-        rows = staged(_round(left.coalesce(parts), "size", capacity, len(placed) + 1), "residual")
+        others = left.where(~low & (F.col("size") <= capacity - has.least))
+        emptiest = numbered(others, ["size", "id"], "n").where(F.col("n") < has.low).drop("n")
+        parts = -(-2 * has.low // BLOCK)
+        met = left.where(low).unionByName(emptiest).repartition(parts)
+        rows = staged(_round(met, "size", capacity, len(placed) + 1), "residual")
         placed.append(rows)
     return first.select(
         "doc_id", "piece", "start", "length", "ids_crc32", "bin", "at",

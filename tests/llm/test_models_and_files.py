@@ -157,6 +157,36 @@ def test_packing(spark):
     assert best_fit_packing.pack(frame(spark, []), WORDS).count() == 0
 
 
+def fills(out):
+    total = Counter()
+    for x in out:
+        total[x.sequence_id] += x.length
+    return sorted(total.values())
+
+
+def test_packing_does_not_depend_on_the_order_of_lengths(spark, monkeypatch):
+    monkeypatch.setattr(best_fit_packing, "DEALT", 100)
+    rows = [(k, "a " * (39 if k < 300 else 19)) for k in range(600)]  # with the end 40 and 20 ids
+    out = best_fit_packing.pack(frame(spark, rows).repartitionByRange(6, "doc_id"), WORDS, capacity=64, slack=1).collect()
+    assert len(out) == 600 and len(fills(out)) <= 315  # 300 would do; 400 if the lengths never meet
+
+
+@pytest.mark.parametrize(("dealt", "block"), [(3, 200_000), (10, 8)])
+def test_no_two_underfull_bins_fit_together(spark, monkeypatch, dealt, block):
+    monkeypatch.setattr(best_fit_packing, "DEALT", dealt)
+    monkeypatch.setattr(best_fit_packing, "BLOCK", block)
+    r = random.Random(9)
+    rows = [(k, "a " * r.choice([3, 9, 20, 33, 45, 52])) for k in range(400)]
+    out = best_fit_packing.pack(frame(spark, rows).repartition(40), WORDS, capacity=64, slack=1).collect()
+    full = fills(out)
+    assert Counter(x.doc_id for x in out) == Counter(range(400)) and max(full) <= 64 and full[0] + full[1] > 64
+    sequences = defaultdict(list)
+    for x in out:
+        sequences[x.sequence_id].append((x.offset, x.length))
+    for places in map(sorted, sequences.values()):
+        assert [a for a, _ in places] == [0, *np.cumsum([n for _, n in places])[:-1]]
+
+
 def test_best_fit_takes_the_tightest_bin():
     bins, at, fills = best_fit_packing.best_fit(np.array([6, 5, 4, 3, 10, 1]), 10)
     assert fills.tolist() == [10, 10, 9] and bins.tolist()[4] == 0 and len(set(bins.tolist())) == 3
