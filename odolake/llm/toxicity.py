@@ -16,19 +16,21 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from odolake.llm.common import staged
 from odolake.llm.labelled import held_out, training_sample
 
 MAX_ROWS = 20_000  # labelled rows that are learnt from
 MAX_TERMS = 5_000
 MIN_DOCS = 5  # toxic documents that must hold a term
-MIN_EVIDENCE = 30.0  # log-likelihood ratio of a term
-MIN_SHARE = 0.01  # of the ratio that a term of all toxic documents and no other would have
+MIN_EVIDENCE = 30.0  # log-likelihood ratio of a term, at any size of the sample
+CHANCE = 0.01  # terms that may pass by chance, of all that are tested
 MIN_WEIGHT = 1.0
 BEGINNINGS = (4, 5, 6)
 MAX_PHRASES = 5_000
@@ -160,21 +162,25 @@ def _curve(y: np.ndarray, x: np.ndarray) -> tuple[float, float, float]:
     return float(w[0]), float(w[1]), float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).sum())
 
 
+def bar(tested: int) -> float:
+    """The evidence a term needs: by chance the ratio is a squared normal value, and it is tried ``tested`` times."""
+    return max(MIN_EVIDENCE, NormalDist().inv_cdf(CHANCE / max(1, tested) / 2) ** 2)
+
+
 def learn(sample: DataFrame) -> Lexicon:
     """A lexicon from ``t, y``; with only one label in the sample it is empty."""
     of = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
     pos_all, neg_all = of.get(1, 0), of.get(0, 0)
     if not pos_all or not neg_all:
         return Lexicon({}, {}, bias=4.0 if pos_all else -4.0)
-    counts = _counted(sample, lambda t: _terms(fold(t)))
+    counts = staged(_counted(sample, lambda t: _terms(fold(t))).where(F.col("pos") >= MIN_DOCS), "terms")
     pos, neg = F.col("pos") + 0.5, F.col("neg") + 0.5
     weight = F.log(pos / F.lit(pos_all + 1.0)) - F.log(neg / F.lit(neg_all + 1.0))
     n, base = F.col("pos") + F.col("neg"), pos_all / (pos_all + neg_all)
     evidence = 2 * (F.col("pos") * F.log(F.greatest(F.col("pos"), F.lit(1)) / (n * base))
                     + F.col("neg") * F.log(F.greatest(F.col("neg"), F.lit(1)) / (n * (1 - base))))
-    least = max(MIN_EVIDENCE, MIN_SHARE * 2 * pos_all * math.log(1 / base))
-    best = counts.where(F.col("pos") >= MIN_DOCS).select("term", weight.alias("w"), evidence.alias("e")).where(
-        (F.col("w") >= MIN_WEIGHT) & (F.col("e") >= least))
+    best = counts.select("term", weight.alias("w"), evidence.alias("e")).where(
+        (F.col("w") >= MIN_WEIGHT) & (F.col("e") >= bar(counts.count())))
     terms = [(r.term, r.w) for r in best.orderBy(F.desc("e"), "term").limit(MAX_TERMS).collect()]
     lexicon = Lexicon({t[1:]: w for t, w in terms if t[0] == "="}, {t: w for t, w in terms if t[0] != "="})
 

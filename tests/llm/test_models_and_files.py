@@ -249,6 +249,19 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), labels.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [1200, 12_000])
+def test_a_rare_toxic_word_counts_in_samples_of_any_size(spark, n):
+    words = {9 * k: "dolt scumlord" for k in range(12)}
+    rows = [(k, f"plain words {k} {words.get(k, 'dolt') if k % 9 == 0 else ''}", int(k % 9 == 0)) for k in range(n)]
+    lexicon = toxicity.learn(spark.createDataFrame(rows, "d BIGINT, t STRING, y INT"))
+    assert {"dolt", "scumlord"} <= set(lexicon.words)
+
+
+def test_the_bar_rises_with_the_terms_tested_only():
+    assert toxicity.bar(0) == toxicity.bar(100_000) == toxicity.MIN_EVIDENCE
+    assert toxicity.MIN_EVIDENCE < toxicity.bar(10**6) < toxicity.bar(10**7) < 42
+
+
 def test_folding():
     assert toxicity.fold("1D10T") == "idiot" and toxicity.fold("Ѕtυрid") == "stupid" and toxicity.fold("in 1984") == "in 1984"
 
