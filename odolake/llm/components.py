@@ -14,6 +14,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     Alternates large and small stars: every node hooks its neighbours to the smallest one,
     until the graph is a set of stars. Each round is written to the shared folder. Minima
     are combined before the shuffle, so a node with very many neighbours does no harm.
+    Raises if ``rounds`` do not suffice, as a node could then have several roots.
     """
     now = edges.where(F.col("u") != F.col("v")).select(
         F.greatest("u", "v").alias("hi"), F.least("u", "v").alias("lo")).distinct()
@@ -33,6 +34,8 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         if state == seen:
             break
         seen = state
+    else:
+        raise RuntimeError(f"components are not settled after {rounds} rounds")
     roots = now.select(F.col("lo").alias("node")).distinct()
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(
         roots.select("node", F.col("node").alias("root")))

@@ -215,6 +215,13 @@ def test_components(spark):
     assert found == {k: 0 for k in range(41)} | {100: 100, 101: 100, 200: 100}
 
 
+def test_components_that_are_not_settled_raise(spark):
+    path = spark.createDataFrame([(k, k + 1) for k in range(64)], "u BIGINT, v BIGINT")
+    with pytest.raises(RuntimeError, match="not settled"):
+        components(path, rounds=2)
+    assert {(x.node, x.root) for x in components(path).collect()} == {(k, 0) for k in range(65)}
+
+
 # --- decontamination ----------------------------------------------------------
 
 
