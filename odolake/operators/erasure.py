@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odolake import schemas as S
+from odolake.operators.validation import BLANKS
 
 # what each table loses besides its key
 BLANKED = {
@@ -47,8 +48,8 @@ def erase(df: DataFrame, keys: DataFrame, table: str, key: str = "vehicle_id") -
 
 
 def _named_key(key: str) -> Column:
-    """The key that a dead letter's payload names."""
-    return F.trim(F.try_variant_get(F.try_parse_json("raw_payload"), f"$.{key}", "string"))
+    """The key that a dead letter's payload names, without the blanks that validation takes off."""
+    return F.btrim(F.try_variant_get(F.try_parse_json("raw_payload"), f"$.{key}", "string"), F.lit(BLANKS))
 
 
 def naming(dlq: DataFrame, keys: DataFrame, key: str = "vehicle_id") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_validation import changed
 
 from odolake import schemas as S
-from odolake.operators import forest, health, rate_limit
+from odolake.operators import erasure, forest, health, rate_limit
 from odolake.operators.alerting import replay_alerts
 from odolake.plans import cycle, reports
 from odolake.sources.store import Store, with_batch_ids
@@ -99,6 +99,16 @@ def test_injected_fault_alerts_within_three_cycles_and_erasure(spark, store):
     assert store.erase(keys, "officer", 10, NOW).count() == 0
 
 
+def test_dead_letters_name_a_vehicle_through_any_blanks(spark):
+    ids = ["\\tVF-001\\n", "VF-001\u00a0", " VF-001 ", "\u2003VF-001", "VF-0011"]
+    rows = [(k, f'{{"vehicle_id": "{v}", "latitude": 91}}', "out of range") for k, v in enumerate(ids)]
+    dlq = spark.createDataFrame(rows, "id INT, raw_payload STRING, error_reason STRING")
+    keys = spark.createDataFrame([("VF-001",)], "vehicle_id STRING")
+    assert {r.id for r in erasure.naming(dlq, keys).collect()} == {0, 1, 2, 3}
+    out = {r.id: r.raw_payload for r in erasure.scrub_dead_letters(dlq, keys).collect()}
+    assert {k for k, p in out.items() if p == S.ERASED} == {0, 1, 2, 3} and out[4] == rows[4][1]
+
+
 def test_erasure_scrubs_dead_letters_and_purge_drops_old_dates(spark, store):
     dlq = spark.createDataFrame(
         [(1, ago(days=40), changed(battery_pct=640, vehicle_id="VF-001"), "r", None), (2, NOW, json.dumps({"vehicle_id": "VF-002"}), "r", None),
