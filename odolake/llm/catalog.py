@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odolake.llm import best_fit_packing, decontamination, html_extraction, line_dedup, ngram_join, quality_classifier, quality_rules, sharding, token_files, toxicity
+from odolake.llm import (
+    best_fit_packing, centroids, decontamination, exact_dedup, html_extraction, line_dedup, merkle, ngram_join,
+    quality_classifier, quality_rules, sharding, token_files, toxicity,
+)
 from odolake.llm.common import table
 from odolake.llm.oracles import ORACLES
 
@@ -62,4 +65,25 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, token_files.write(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_line_dedup, op3_toxicity, op4_html_extraction, op5_quality_rules, op6_best_fit_packing, op7_quality_classifier, op8_ngram_join, op9_decontamination, op10_token_files)}
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row verified against the manifest; of a fifth of the ids the text comes back in lower case."""
+    docs = table(spark, sf_dir, "documents")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    text = F.when(altered, F.translate("text", upper, upper.lower())).otherwise(F.col("text"))
+    return merkle.prove(docs, found={"text": text})
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), hash_all=True)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_sharding, op2_line_dedup, op3_toxicity, op4_html_extraction, op5_quality_rules, op6_best_fit_packing,
+    op7_quality_classifier, op8_ngram_join, op9_decontamination, op10_token_files, op11_centroids,
+    op12_merkle_manifest, op13_exact_dedup,
+)}

@@ -88,4 +88,101 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM based
 """
 
-ORACLES = {"op2_line_dedup": _OP2, "op5_quality_rules": _OP5}
+_OP13 = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+def _op11(clusters: int = 8, rounds: int = 10) -> str:
+    """The rounds one after the other; a floor of a quotient, as ``//`` cuts towards zero."""
+    parts = [f"""
+WITH ints AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k, v AS c FROM ints
+  QUALIFY row_number() OVER (ORDER BY sha256('3:' || vec_id)) <= {clusters}
+)"""]
+    gap = "list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    for i in range(rounds + 1):
+        parts.append(f""", a{i} AS MATERIALIZED (
+  SELECT vec_id, v, k, d FROM (SELECT vec_id, v, k, {gap} AS d FROM ints, c{i})
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, k) = 1
+)""")
+        if i < rounds:
+            parts.append(f""", c{i + 1} AS MATERIALIZED (
+  SELECT o.k, coalesce(m.c, o.c) AS c FROM c{i} o LEFT JOIN (
+    SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY p) AS c FROM (
+      SELECT k, p, sum(x)::BIGINT AS s, count(*) AS n FROM (
+        SELECT k, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM a{i}) GROUP BY k, p) GROUP BY k) m USING (k)
+)""")
+    return "".join(parts) + f"""
+SELECT a.vec_id, a.k::INT AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.k))::BIGINT AS cluster_inertia,
+       (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c USING (k)
+"""
+
+
+def _op12(fan: int = 16, folds: int = 8) -> str:
+    """So many folds per tree, each of them idle once one node is left; the checksum of an id bit by bit."""
+    value = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(
+        [value("doc_id"), value("source"), value("lang"), value("n_chars"), value(text)]) + ")"
+    bits = "list_transform(range(8 * length(doc_id::VARCHAR)), lambda i: CASE WHEN i % 8 = 0 " \
+           "THEN ascii(substr(doc_id::VARCHAR, (i // 8 + 1)::INT, 1))::BIGINT ELSE 0::BIGINT END)"
+    step = "lambda c, e: CASE WHEN xor(c, e) & 1 = 1 THEN xor(xor(c, e) >> 1, 3988292384) ELSE xor(c, e) >> 1 END"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), {step}), 4294967295)"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [f"""
+WITH texts AS (
+  SELECT *, CASE WHEN {crc} % 5 = 0 THEN {lower} ELSE text END AS seen FROM documents
+), leaves AS MATERIALIZED (
+  SELECT doc_id, source, {leaf('text')} AS leaf, {leaf('seen')} AS f0,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS r FROM texts
+), n0 AS (SELECT source, r AS p, leaf AS h FROM leaves)"""]
+
+    def tree(name: str, by: str) -> None:
+        for k in range(folds):
+            parts.append(f""", {name}s{k} AS MATERIALIZED (
+  SELECT {by}, p, h, count(*) OVER (PARTITION BY {by}) AS many,
+         coalesce(string_agg(h, '') OVER (PARTITION BY {by}, p // {fan} ORDER BY p
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (PARTITION BY {by}, p // {fan} ORDER BY p
+           ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k}
+), {name}{k + 1} AS (
+  SELECT {by}, p // {fan} AS p, CASE WHEN any_value(many) > 1 THEN sha256(string_agg(h, '' ORDER BY p)) ELSE any_value(h) END AS h
+  FROM {name}s{k} GROUP BY {by}, p // {fan}
+)""")
+
+    def climb(name: str, by: str, start: str, at: str) -> str:
+        for k in range(folds):
+            now = f"{name}x{k}"
+            parts.append(f""", {now} AS (
+  SELECT x.* EXCLUDE (f, proof), CASE WHEN t.many > 1 THEN sha256(t.l || x.f || t.r) ELSE x.f END AS f,
+         CASE WHEN t.many > 1 THEN x.proof || t.l || t.r ELSE x.proof END AS proof
+  FROM {start} x JOIN {name}s{k} t ON t.{by} IS NOT DISTINCT FROM x.{by} AND t.p = x.{at} // {fan ** k}
+)""")
+            start = now
+        return start
+
+    tree("n", "source")
+    parts.append(f""", subroots AS MATERIALIZED (
+  SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS g, 0 AS one FROM n{folds}
+), m0 AS (SELECT one, g AS p, subroot AS h FROM subroots)""")
+    tree("m", "one")
+    parts.append(", y AS (SELECT doc_id, source, r, leaf, f0 AS f, '' AS proof FROM leaves)")
+    last = climb("n", "source", "y", "r")
+    parts.append(f", z AS (SELECT x.*, s.subroot, s.g, s.one FROM {last} x JOIN subroots s ON s.source IS NOT DISTINCT FROM x.source)")
+    last = climb("m", "one", "z", "g")
+    return "".join(parts) + f"""
+SELECT x.doc_id, x.leaf, x.subroot, t.h AS root, sha256(x.proof) AS proof_sha256, x.f AS folded_root, x.f = t.h AS verified
+FROM {last} x, m{folds} t
+"""
+
+
+ORACLES = {
+    "op2_line_dedup": _OP2, "op5_quality_rules": _OP5, "op11_centroids": _op11(), "op12_merkle_manifest": _op12(),
+    "op13_exact_dedup": _OP13,
+}
