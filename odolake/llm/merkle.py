@@ -135,9 +135,9 @@ def _array(digests: Iterable[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), np.uint8).reshape(-1, WIDTH)
 
 
-def _blocks(leaves: DataFrame, sizes: DataFrame) -> DataFrame:
+def _blocks(leaves: DataFrame, sizes: DataFrame, block_folds: int) -> DataFrame:
     """Blocks over ``tree, at, digest``; ``sizes`` has the number of leaves ``n`` of each tree."""
-    full = FAN ** BLOCK_FOLDS
+    full = FAN ** block_folds
     keyed = leaves.join(sizes, "tree").select(
         "tree", F.expr(f"at div {full}").alias("block"), "at", "digest", "n").withColumn(
         "key", F.xxhash64("tree", "block"))
@@ -147,7 +147,7 @@ def _blocks(leaves: DataFrame, sizes: DataFrame) -> DataFrame:
             for (tree, block), rows in near.groupby(["tree", "block"]):
                 rows = rows.sort_values("at")
                 alone = int(rows["n"].iat[0]) <= full
-                folds = folds_of(len(rows)) if alone else BLOCK_FOLDS
+                folds = folds_of(len(rows)) if alone else block_folds
                 nodes = built(_array(rows["digest"]), folds)
                 root = nodes[addresses(len(rows), folds, folds)[0]].tobytes()
                 yield pd.DataFrame({"tree": [tree], "block": [block], "leaves": [len(rows)], "folds": [folds],
@@ -156,14 +156,14 @@ def _blocks(leaves: DataFrame, sizes: DataFrame) -> DataFrame:
     return sorted_groups(keyed, "key").mapInPandas(build, _BLOCK)
 
 
-def trees(leaves: DataFrame) -> list[DataFrame]:
+def trees(leaves: DataFrame, block_folds: int = BLOCK_FOLDS) -> list[DataFrame]:
     """The levels of blocks over all trees of ``leaves(tree, at, digest)``, lowest first, as staged tables."""
     levels = []
     while True:
         sizes = staged(leaves.groupBy("tree").agg(F.count("*").alias("n")), "tree-sizes")
-        blocks = staged(_blocks(leaves, sizes), "tree-blocks")
+        blocks = staged(_blocks(leaves, sizes, block_folds), "tree-blocks")
         levels.append(blocks)
-        open_trees = sizes.where(F.col("n") > FAN ** BLOCK_FOLDS).select("tree")
+        open_trees = sizes.where(F.col("n") > FAN ** block_folds).select("tree")
         leaves = blocks.join(open_trees, "tree", "left_semi").select(
             "tree", F.col("block").alias("at"), F.col("root").alias("digest"))
         if leaves.isEmpty():
@@ -188,22 +188,27 @@ def _with_context(blocks: DataFrame, above: DataFrame, keep: list[str]) -> DataF
     return blocks.join(above, ["tree", "block"]).select(*keep, "lefts", "rights")
 
 
-def _descend(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For every leaf of a block the siblings from it to the top."""
-    for frame in frames:
-        for b in frame.itertuples():
-            nodes = np.frombuffer(b.nodes, np.uint8).reshape(-1, WIDTH)
-            found = paths(nodes, b.leaves, b.folds)
-            first = b.block * FAN ** BLOCK_FOLDS
-            for a in range(0, b.leaves, 256):
-                part = found[a:a + 256]
-                yield pd.DataFrame({
-                    "tree": b.tree, "at": np.arange(first + a, first + a + len(part)),
-                    "lefts": [[*[x for x, _ in p], *b.lefts] for p in part],
-                    "rights": [[*[x for _, x in p], *b.rights] for p in part]})
+def _descended(blocks: DataFrame, above: DataFrame, block_folds: int) -> DataFrame:
+    """For every leaf of the blocks the siblings from it to the top; ``above`` has those of the blocks' roots."""
 
+    def descend(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for b in frame.itertuples():
+                nodes = np.frombuffer(b.nodes, np.uint8).reshape(-1, WIDTH)
+                found = paths(nodes, b.leaves, b.folds)
+                first = b.block * FAN ** block_folds
+                for a in range(0, b.leaves, 256):
+                    part = found[a:a + 256]
+                    yield pd.DataFrame({
+                        "tree": b.tree, "at": np.arange(first + a, first + a + len(part)),
+                        "lefts": [[*[x for x, _ in p], *b.lefts] for p in part],
+                        "rights": [[*[x for _, x in p], *b.rights] for p in part]})
 
-def contexts(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
+    wide = _with_context(blocks, above, ["tree", "block", "leaves", "folds", "nodes"])
+    return staged(wide.mapInPandas(descend, _ABOVE), "siblings")
+
+
+def contexts(levels: list[DataFrame], tops: DataFrame, block_folds: int = BLOCK_FOLDS) -> DataFrame:
     """Siblings from the roots of the lowest blocks to the top; ``tops`` has those of the whole trees."""
     above = None
     for blocks in reversed(levels):
@@ -211,9 +216,8 @@ def contexts(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
         start = tops.join(alone, "tree").select("tree", "at", "lefts", "rights")
         known = start if above is None else above.unionByName(start)  # a tree has one block at its highest level only
         if blocks is levels[0]:
-            return staged(known, "siblings")
-        wide = _with_context(blocks, known, ["tree", "block", "leaves", "folds", "nodes"])
-        above = staged(wide.mapInPandas(_descend, _ABOVE), "siblings")
+            return known
+        above = _descended(blocks, known, block_folds)
     raise ValueError("no levels")
 
 
@@ -229,7 +233,8 @@ def leaf(columns: Iterable[Column]) -> Column:
 
 
 def manifest(docs: DataFrame, columns: Iterable[str] = LEAF_COLUMNS, id_col: str = "doc_id", group: str = "source",
-             found: dict[str, Column] | None = None) -> tuple[DataFrame, list[DataFrame], list[DataFrame]]:
+             found: dict[str, Column] | None = None, block_folds: int = BLOCK_FOLDS
+             ) -> tuple[DataFrame, list[DataFrame], list[DataFrame]]:
     """Leaves with their places, the blocks of the group trees, and those of the tree over the groups.
 
     ``found`` gives what a column holds when the rows are verified; without it they are unchanged.
@@ -244,9 +249,10 @@ def manifest(docs: DataFrame, columns: Iterable[str] = LEAF_COLUMNS, id_col: str
     starts = staged(numbered(starts, ["g"], "tree"), "groups")
     placed = staged(rows.join(starts, rows["g"].eqNullSafe(starts["g"])).select(
         "d", "tree", (F.col("number") - F.col("start")).alias("at"), "digest", "found"), "places")
-    levels = trees(placed.select("tree", "at", "digest"))
+    levels = trees(placed.select("tree", "at", "digest"), block_folds)
     subroots = staged(roots(levels), "subroots")
-    top = trees(subroots.select(F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("at"), F.col("root").alias("digest")))
+    leaves = subroots.select(F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("at"), F.col("root").alias("digest"))
+    top = trees(staged(leaves, "group-leaves"), block_folds)
     return placed, levels, top
 
 
@@ -254,7 +260,7 @@ _PROOF = "d STRING, leaf STRING, subroot STRING, root STRING, proof_sha256 STRIN
 
 
 def prove(docs: DataFrame, columns: Iterable[str] = LEAF_COLUMNS, id_col: str = "doc_id", group: str = "source",
-          found: dict[str, Column] | None = None) -> DataFrame:
+          found: dict[str, Column] | None = None, block_folds: int = BLOCK_FOLDS) -> DataFrame:
     """One row per row of ``docs``: id, ``leaf, subroot, root, proof_sha256, folded_root, verified``.
 
     ``proof_sha256`` is the hash of all siblings from the leaf to the root. ``folded_root`` is recomputed
@@ -264,18 +270,17 @@ def prove(docs: DataFrame, columns: Iterable[str] = LEAF_COLUMNS, id_col: str =
     long ones, are leaves like any other. An empty table has no tree and gives an empty result. Columns of
     ``docs`` that are not named have no influence.
     """
-    placed, levels, top = manifest(docs, columns, id_col, group, found)
+    placed, levels, top = manifest(docs, columns, id_col, group, found, block_folds)
     no_one = F.array().cast("array<string>")
     whole = top[-1].select("tree").distinct().select("tree", no_one.alias("lefts"), no_one.alias("rights"))
-    lowest = _with_context(top[0], contexts(top, whole), ["tree", "block", "leaves", "folds", "nodes"])
-    groups = staged(lowest.mapInPandas(_descend, _ABOVE), "group-siblings")
+    groups = _descended(top[0], contexts(top, whole, block_folds), block_folds)
     tops = groups.select(F.col("at").alias("tree"), "lefts", "rights")
-    blocks = _with_context(levels[0], contexts(levels, tops), ["tree", "block", "leaves", "folds", "nodes"])
+    blocks = _with_context(levels[0], contexts(levels, tops, block_folds), ["tree", "block", "leaves", "folds", "nodes"])
     ends = roots(levels).withColumnRenamed("root", "subroot")
     root = roots(top).first()
     root = root.root.hex() if root else ""
     blocks = staged(blocks.join(ends, "tree"), "lowest-blocks")
-    full = FAN ** BLOCK_FOLDS
+    full = FAN ** block_folds
     mine = placed.withColumn("block", F.expr(f"at div {full}")).select(
         "tree", "block", "at", F.col("d").cast("string").alias("d"), "found")
 
