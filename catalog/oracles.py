@@ -537,3 +537,53 @@ ORACLES |= {
     "stream_token_bucket": ORACLES["r1_token_bucket"],
     "stream_alerts": ORACLES["w6_suppressed_alerts"],
 }
+
+_EXACT = f"""vehicle_id, {_ts('window_start')} AS window_start, {_ts('window_end')} AS window_end, avg_current_a,
+  avg_motor_temp_c, avg_speed_kmh, record_count"""
+
+# four batches, the watermark ten days behind the newest reading of those before
+_MET = """every AS (SELECT *, bronze_id % 4 AS batch FROM {silver}), marks AS (
+  SELECT b.batch, max(e.event_timestamp) - INTERVAL 10 DAY AS mark FROM (SELECT DISTINCT batch FROM every) b
+  JOIN every e ON e.batch < b.batch GROUP BY b.batch),
+met AS (SELECT e.*, COALESCE(date_trunc('day', event_timestamp) + INTERVAL 1 DAY <= m.mark, FALSE) AS late
+  FROM every e LEFT JOIN marks m USING (batch))"""
+
+_STORED = f"""bronze_id, vehicle_id, {_ts('event_timestamp')} AS event_timestamp, {MEASURES}, regen_braking_event, region,
+  {_ts(AS_OF)} AS processed_at"""
+
+ORACLES |= {
+    "stream_gate": ORACLES["r1_token_bucket"],
+    "s2_bronze_append": REC + LIMITED + f""" SELECT v_vehicle_id AS vehicle_id, {_ts('moment')} AS event_timestamp,
+        {_ts('received_at')} AS received_at, v_battery_pct AS battery_pct, raw_payload FROM routed WHERE outcome = 'accepted'""",
+    "s3_dlq_append": REC + LIMITED + f""" SELECT {_ts('received_at')} AS received_at, raw_payload, reason AS error_reason,
+        client_ip FROM routed WHERE outcome = 'rejected_validation'""",
+    "s5_silver_batch": WITH + SILVER + f" SELECT {_STORED} FROM silver",
+    "s7_gold_append": WITH + GOLD + f" SELECT {_EXACT} FROM gold WHERE gold.window_end <= {AS_OF}",
+    "s15_replay": ORACLES["w2_gold_sliding"],
+    "e5_store_erasure": WITH + SILVER + ", " + REQUESTS + """, rows_of AS (
+        SELECT 'bronze' AS layer, id AS bronze_id, vehicle_id, latitude, longitude, vehicle_id AS raw_payload FROM bronze
+        UNION ALL SELECT 'silver', bronze_id, vehicle_id, latitude, longitude, '-' FROM silver)
+        SELECT layer, bronze_id, CASE WHEN k.vehicle_id IS NULL THEN r.vehicle_id ELSE '[ERASED]' END AS vehicle_id,
+          CASE WHEN k.vehicle_id IS NULL THEN latitude END AS latitude, CASE WHEN k.vehicle_id IS NULL THEN longitude END AS longitude,
+          CASE WHEN layer = 'bronze' AND k.vehicle_id IS NOT NULL THEN '[ERASED]' ELSE raw_payload END AS raw_payload
+        FROM rows_of r LEFT JOIN known k ON r.vehicle_id = k.vehicle_id""",
+    "e6_audit": WITH + SILVER + ", " + REQUESTS + f""" SELECT vehicle_id,
+        (SELECT count(*) FROM bronze x WHERE x.vehicle_id = k.vehicle_id) AS bronze_count,
+        (SELECT count(*) FROM silver x WHERE x.vehicle_id = k.vehicle_id) AS silver_count,
+        CAST(0 AS BIGINT) AS gold_count, 'officer' AS requested_by, {_ts(AS_OF)} AS erased_at FROM known k""",
+    "stream_late_rows": WITH + SILVER + ", " + _MET.format(silver="silver")
+        + f" SELECT bronze_id, vehicle_id, {_ts('event_timestamp')} AS event_timestamp FROM met WHERE late",
+    "stream_gold_panes": WITH + GOLD.replace("silver AS (", "cleaned AS (", 1).replace(
+        ", days AS (", ", " + _MET.format(silver="cleaned") + ", silver AS (SELECT * FROM met WHERE NOT late), days AS (", 1)
+        + f""" SELECT {_EXACT}, rolling_5min_discharge_rate FROM gold
+        WHERE gold.window_end <= (SELECT max(event_timestamp) - INTERVAL 10 DAY FROM cleaned)""",
+    "j2_latest_kept_up": ORACLES["j2_latest_per_key"],
+    "stream_online_status": WITH + BRONZE + f""", marked AS (
+        SELECT vehicle_id, received_at, CASE WHEN received_at - lag(received_at) OVER w < INTERVAL 2 DAY THEN 0 ELSE 1 END AS fresh
+        FROM bronze WINDOW w AS (PARTITION BY vehicle_id ORDER BY received_at, id)),
+      numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY vehicle_id ORDER BY received_at ROWS UNBOUNDED PRECEDING) AS spell FROM marked),
+      spells AS (SELECT vehicle_id, spell, min(received_at) AS a, max(received_at) + INTERVAL 2 DAY AS b FROM numbered GROUP BY ALL
+        HAVING b <= (SELECT max(received_at) - INTERVAL 10 MINUTE FROM bronze))
+      SELECT vehicle_id, {_ts('a')} AS at, 'online' AS status FROM spells
+      UNION ALL SELECT vehicle_id, {_ts('b')}, 'offline' FROM spells""",
+}

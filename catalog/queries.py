@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import lake as L
@@ -14,10 +15,13 @@ from odolake.functions.numeric import round_half_even
 from odolake.operators import (
     alerting, cleaning, erasure, forest, governance, health, ingest, latest, quantile, rate_limit, validation,
 )
-from odolake.plans import reports
+from odolake.plans import cycle, reports
 from odolake.session import staging_path
+from odolake.sources.latest_table import LatestTable
+from odolake.sources.store import Store
 from catalog import telemetry
 from odolake.streaming import jobs, stateful
+from odolake.streaming.panes import CarriedPanes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -495,6 +499,154 @@ def stream_token_bucket(t: Lake) -> DataFrame:
     return _drained(t, stateful.limit_stream(_live(t), refill_per_second=L.REFILL), "limiter")
 
 
+FILES = 4  # micro-batches of the streams below
+
+
+def _in_batches(t: Lake, rows: DataFrame, order: list[str], label: str) -> DataFrame:
+    """``rows`` as a stream of several micro-batches in the given order."""
+    path = telemetry.in_order(rows, staging_path(t.spark, label), order, FILES)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query
+def stream_gate(t: Lake) -> DataFrame:
+    """The limiter of the streamed ingest, its buckets carried over several micro-batches."""
+    events = _in_batches(t, t.bronze.select("id", "vehicle_id", "received_at"), ["received_at", "id"], "arrivals")
+    out, mark = staging_path(t.spark, "gate"), staging_path(t.spark, "gate-checkpoint")
+    jobs.limit_query(events, out, mark, None, refill_per_second=L.REFILL).awaitTermination()
+    return t.spark.read.parquet(f"{out}/batch=*")
+
+
+def _ingested(t: Lake) -> Store:
+    """A store filled by the streamed ingest: limiter, validation, raw rows and dead letters."""
+    store = Store(t.spark, staging_path(t.spark, "store"))
+    store.create()
+    raw = _in_batches(t, t.raw, ["received_at", "id"], "raw").drop("id")
+    jobs.ingest_query(raw, store, staging_path(t.spark, "ingest"), None, refill_per_second=L.REFILL).awaitTermination()
+    return store
+
+
+@query
+def s2_bronze_append(t: Lake) -> DataFrame:
+    return _ingested(t).read("bronze_telemetry").select(
+        "vehicle_id", "event_timestamp", "received_at", "battery_pct", "raw_payload")
+
+
+@query
+def s3_dlq_append(t: Lake) -> DataFrame:
+    return _ingested(t).read("bronze_dlq").drop("id")
+
+
+def _cleaned(t: Lake) -> Store:
+    """A store with the readings as raw rows in two batches, each cleaned by a cycle's first stage."""
+    store = Store(t.spark, staging_path(t.spark, "store"))
+    store.create()
+    store.seed_vehicles(t.vehicles, 0)
+    for n, part in enumerate((F.col("id") % 3 == 0, F.col("id") % 3 > 0)):
+        # ids grow with the batches, as ids of a stream do
+        rows = t.bronze.where(part).withColumn("id", F.col("id") + F.lit(n << 40)).withColumn("raw_payload", F.col("vehicle_id"))
+        store.write_batch("bronze_telemetry", rows, n)
+        cycle.clean_batch(store, n, datetime.fromisoformat(L.AS_OF), threshold=1.0)
+    return store
+
+
+def _own_id() -> Column:
+    return F.col("bronze_id").bitwiseAND(F.lit((1 << 40) - 1)).alias("bronze_id")
+
+
+@query
+def s5_silver_batch(t: Lake) -> DataFrame:
+    return _cleaned(t).read("silver_telemetry").select(
+        _own_id(), "vehicle_id", "event_timestamp", *S.MEASURES, "regen_braking_event", "region", "processed_at")
+
+
+@query
+def s7_gold_append(t: Lake) -> DataFrame:
+    """The health rows a cycle appends: the snapshot, and the earlier windows that the batch fell into."""
+    store = _cleaned(t)
+    as_of = datetime.fromisoformat(L.AS_OF)
+    cycle.aggregate_batch(store, 2, as_of, L.WINDOW, L.LOOKBACK, L.UNIT_MINUTES)
+    return store.read("gold_vehicle_health").select(*_EXACT)
+
+
+@query
+def s15_replay(t: Lake) -> DataFrame:
+    _, gold = cycle.replay(t.bronze, t.vehicles, slide_seconds=L.WINDOW, lookback_seconds=L.LOOKBACK, unit_minutes=L.UNIT_MINUTES)
+    return gold
+
+
+def _erased(t: Lake) -> Store:
+    store = _cleaned(t)
+    store.erase(_requests(t), "officer", 9, L.AS_OF)
+    return store
+
+
+@query
+def e5_store_erasure(t: Lake) -> DataFrame:
+    """Every layer of the store after an erasure of all or nothing."""
+    store = _erased(t)
+    raw = store.read("bronze_telemetry").select(F.lit("bronze").alias("layer"), F.col("id").alias("bronze_id"), "vehicle_id",
+                                                "latitude", "longitude", "raw_payload")
+    clean = store.read("silver_telemetry").select(F.lit("silver").alias("layer"), "bronze_id", "vehicle_id", "latitude",
+                                                  "longitude", F.lit("-").alias("raw_payload"))
+    return raw.unionByName(clean).withColumn("bronze_id", _own_id())
+
+
+@query
+def e6_audit(t: Lake) -> DataFrame:
+    return _erased(t).read("erasure_log").select(
+        "vehicle_id", "bronze_count", "silver_count", "gold_count", "requested_by", "erased_at")
+
+
+# health columns whose sums are exact in any order
+_EXACT = ("vehicle_id", "window_start", "window_end", "avg_current_a", "avg_motor_temp_c", "avg_speed_kmh", "record_count")
+LATE_DAYS = 10
+
+
+def _paned(t: Lake) -> Store:
+    """A store whose Gold stream met the readings out of order: each micro-batch spans the whole history."""
+    store = Store(t.spark, staging_path(t.spark, "store"))
+    store.create()
+    for n in range(FILES):
+        store.write_batch("silver_telemetry", t.silver.where(F.col("bronze_id") % FILES == n), n)
+    for n in range(FILES):  # one batch of the table after the other, as they come in
+        folder = f"{store.path('silver_telemetry')}/event_date=*/batch_id={n}"
+        rows = t.spark.read.schema(S.SILVER).parquet(folder)
+        carried = CarriedPanes(t.spark, f"{store.root}/panes", L.WINDOW, L.LOOKBACK, L.UNIT_MINUTES, LATE_DAYS * L.DAY)
+        closed, late = carried.update(rows, n)
+        store.write_batch("gold_vehicle_health", closed, n)
+        store.write_batch("silver_late", late, n)
+    return store
+
+
+@query
+def stream_gold_panes(t: Lake) -> DataFrame:
+    """Windows closed from readings on time."""
+    return _paned(t).read("gold_vehicle_health").select(*_EXACT, "rolling_5min_discharge_rate")
+
+
+@query
+def stream_late_rows(t: Lake) -> DataFrame:
+    """The side output of readings that came after their window had been closed."""
+    return _paned(t).read("silver_late").select("bronze_id", "vehicle_id", "event_timestamp")
+
+
+@query
+def j2_latest_kept_up(t: Lake) -> DataFrame:
+    """Newest rows per vehicle from a stored table that four batches bring up to date."""
+    table = LatestTable(t.spark, staging_path(t.spark, "latest"), t.silver.schema)
+    for n in range(FILES):
+        table.update(t.silver.where(F.col("bronze_id") % FILES == n), n)
+    return table.read().select("vehicle_id", "bronze_id", "event_timestamp", "battery_pct")
+
+
+@query
+def stream_online_status(t: Lake) -> DataFrame:
+    """When vehicles go on and off line; spells still open at the end of the stream have not come out."""
+    events = _in_batches(t, t.bronze.select("vehicle_id", "received_at", "id"), ["received_at", "id"], "arrivals")
+    return jobs.transitions(_drained(t, jobs.status_stream(events, L.ONLINE, "10 minutes"), "status"))
+
+
 @query
 def stream_alerts(t: Lake) -> DataFrame:
     path = staging_path(t.spark, "predictions")

@@ -94,6 +94,17 @@ def _iso(ts: Column, pattern: str = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") -> Column:
     return F.date_format(ts, pattern)
 
 
+def in_order(rows: DataFrame, path: str, order: list[str], files: int) -> str:
+    """``rows`` as Parquet files that a stream reads one after the other, in the given order."""
+    rows.repartitionByRange(files, *order).sortWithinPartitions(*order).write.parquet(path)
+    jvm = rows.sparkSession._jvm
+    place = jvm.org.apache.hadoop.fs.Path(f"{path}/part-*")
+    store = place.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration())
+    for k, name in enumerate(sorted(f.getPath().toString() for f in store.globStatus(place))):
+        store.setTimes(jvm.org.apache.hadoop.fs.Path(name), 1_700_000_000_000 + 60_000 * k, -1)  # streams go by age
+    return path
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a file stream."""
     return spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)

@@ -13,6 +13,7 @@ BLANKED = {
     "bronze_telemetry": {"latitude": None, "longitude": None, "raw_payload": S.ERASED},
     "silver_telemetry": {"latitude": None, "longitude": None},
     "silver_rejects": {},
+    "silver_late": {"latitude": None, "longitude": None},
     "gold_vehicle_health": {},
     "predictions": {},
     "alerts": {},

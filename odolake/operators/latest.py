@@ -35,3 +35,11 @@ def top_n_per_key(df: DataFrame, key: str, order: Sequence[Column], n: int) -> D
     """The first ``n`` rows per key. Spark cuts each task to ``n`` per key before it shuffles."""
     w = Window.partitionBy(key).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+
+
+def merged_latest(stored: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
+    """The newest rows of every key, from those of all rows so far and a batch of further ones; ties stay.
+
+    Rows that are stored already are not stored twice, so a batch may come again.
+    """
+    return latest_per_key(stored.unionByName(batch.select(*stored.columns)), key, order).distinct()

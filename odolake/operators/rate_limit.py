@@ -92,12 +92,16 @@ def closing_state(pieces: list, opening: int) -> int:
     raise ValueError("opening state below every piece")
 
 
-def _runs(batch: pa.RecordBatch) -> list[tuple[str, list[int]]]:
-    """Consecutive rows of the same key in a sorted batch, as (key, times)."""
+def _runs(batch: pa.RecordBatch) -> list[tuple[str, int | None, list[int]]]:
+    """Consecutive rows of the same key in a sorted batch, as (key, state it begins with, times of its events)."""
     keys = batch.column(0).to_numpy(zero_copy_only=False)
     times = batch.column(1).to_numpy(zero_copy_only=False)
     cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-    return [(keys[a], times[a:b]) for a, b in zip(cuts, cuts[1:])]
+    out = []
+    for a, b in zip(cuts, cuts[1:]):
+        given = batch.column(3)[a].as_py() if times[a] == _FULL else None  # a state sorts before all events
+        out.append((keys[a], given, times[a if given is None else a + 1:b]))
+    return out
 
 
 _SUMMARY = "part INT, first_key STRING, last_key STRING, lows ARRAY<BIGINT>, " \
@@ -112,14 +116,16 @@ def _summariser(interval: int, slack: int):
             if not batch.num_rows:
                 continue
             runs = _runs(batch)
-            for n, (key, times) in enumerate(runs):
+            for n, (key, given, times) in enumerate(runs):
                 if key != current:
                     if first is not None and n < len(runs) - 1:
                         continue  # begins and ends here: no neighbour needs its state
-                    current, tail = key, _FULL
-                    first = key if first is None else first
+                    current, tail = key, _FULL if given is None else given
+                    if first is None:
+                        first = key
+                        pieces = _IDENTITY if given is None else [(_FULL, True, given)]
                 times = times.tolist()
-                if end == _END:
+                if end == _END and times:
                     end = times[0] + slack + interval + 1
                 if current != first:
                     tail, _ = decide(tail, times, interval, slack)
@@ -160,6 +166,8 @@ def _opening_states(summaries: list) -> dict[int, int]:
 
 
 def _decider(interval: int, slack: int, opening: dict[int, int]):
+    """Decides every event; the last row of a run of one key also names the key and its state then."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = opening.get(TaskContext.get().partitionId(), _FULL)
         current, started = None, False
@@ -167,14 +175,22 @@ def _decider(interval: int, slack: int, opening: dict[int, int]):
             if not batch.num_rows:
                 continue
             verdicts: list[bool] = []
-            for key, times in _runs(batch):
+            keys: list[str | None] = []
+            states: list[int | None] = []
+            for key, given, times in _runs(batch):
                 if key != current:
                     state = _FULL if started else state
                     current, started = key, True
+                if given is not None:
+                    state = given
+                    verdicts.append(False)
                 state, allowed = decide(state, times.tolist(), interval, slack)
                 verdicts += allowed
+                keys += [None] * (len(verdicts) - len(keys) - 1) + [key]
+                states += [None] * (len(verdicts) - len(states) - 1) + [state]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(2), pa.array(verdicts, pa.bool_())], names=["id", "allowed"])
+                [batch.column(2), pa.array(verdicts, pa.bool_()), pa.array(keys, pa.string()), pa.array(states, pa.int64())],
+                names=["id", "allowed", "key", "full_at"])
 
     return run
 
@@ -185,6 +201,23 @@ def bucket_times(capacity: int, refill_per_second: float) -> tuple[int, int]:
     return interval, (capacity - 1) * interval
 
 
+def _arrivals(events: DataFrame, key: str, time: str, ident: str) -> DataFrame:
+    return events.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("key"), F.unix_micros(time).alias("t"), F.col(ident).alias("id"),
+        F.lit(None).cast("bigint").alias("full_at"))
+
+
+def _decided(arrivals: DataFrame, interval: int, slack: int, partitions: int | None) -> DataFrame:
+    """``id, allowed`` of every event, and ``key, full_at`` where a run of one key ends."""
+    spark = arrivals.sparkSession
+    width = partitions or max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), -(-arrivals.count() // EVENTS_PER_PARTITION))
+    ordered = pinned(arrivals.repartitionByRange(width, "key", "t", "id").sortWithinPartitions("key", "t", "id"))
+    summaries = ordered.mapInArrow(_summariser(interval, slack), _SUMMARY).collect()  # one row per partition
+    return ordered.mapInArrow(
+        _decider(interval, slack, _opening_states(summaries)), "id BIGINT, allowed BOOLEAN, key STRING, full_at BIGINT")
+
+
 def token_bucket(
     events: DataFrame, key: str = "vehicle_id", time: str = "received_at", ident: str = "id",
     capacity: int = 3, refill_per_second: float = 0.25, partitions: int | None = None,
@@ -194,13 +227,24 @@ def token_bucket(
     Only the three columns needed are sorted; join the answer back on the unique id. The
     number of partitions follows the number of events.
     """
-    spark = events.sparkSession
     interval, slack = bucket_times(capacity, refill_per_second)
-    arrivals = events.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("key"), F.unix_micros(time).alias("t"), F.col(ident).alias("id")
-    )
-    width = partitions or max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), -(-arrivals.count() // EVENTS_PER_PARTITION))
-    ordered = pinned(arrivals.repartitionByRange(width, "key", "t", "id").sortWithinPartitions("key", "t", "id"))
-    summaries = ordered.mapInArrow(_summariser(interval, slack), _SUMMARY).collect()  # one row per partition
-    return ordered.mapInArrow(_decider(interval, slack, _opening_states(summaries)), "id BIGINT, allowed BOOLEAN")
+    return _decided(_arrivals(events, key, time, ident), interval, slack, partitions).select("id", "allowed")
+
+
+def token_bucket_step(
+    events: DataFrame, states: DataFrame, path: str, key: str = "vehicle_id", time: str = "received_at",
+    ident: str = "id", capacity: int = 3, refill_per_second: float = 0.25, partitions: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """One batch of a longer history: (id, allowed) of its events, and ``key, full_at`` of all buckets after it.
+
+    ``states`` are the buckets before it. A state is one more row of its key, sorted before the events, so
+    a hot key is split over partitions here as well, and nothing is joined. The decisions are
+    written to ``path``, which both results read.
+    """
+    interval, slack = bucket_times(capacity, refill_per_second)
+    before = states.select("key", F.lit(_FULL).alias("t"), F.lit(None).cast("bigint").alias("id"), "full_at")
+    rows = _decided(_arrivals(events, key, time, ident).unionByName(before), interval, slack, partitions)
+    rows.write.mode("overwrite").parquet(path)
+    rows = events.sparkSession.read.schema(rows.schema).parquet(path)
+    after = rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("full_at").alias("full_at"))  # it never falls
+    return rows.where(F.col("id").isNotNull()).select("id", "allowed"), after

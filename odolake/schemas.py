@@ -103,6 +103,9 @@ SILVER_REJECTS = _struct(
     "processed_at TIMESTAMP"
 )
 
+# cleaned rows that came after their window had been closed
+SILVER_LATE = SILVER
+
 GOLD = _struct(
     "vehicle_id STRING, window_start TIMESTAMP, window_end TIMESTAMP, avg_battery_pct DOUBLE, "
     "avg_voltage_v DOUBLE, avg_current_a DOUBLE, avg_motor_temp_c DOUBLE, avg_speed_kmh DOUBLE, "
@@ -133,6 +136,7 @@ TABLES = {
     "bronze_dlq": (DLQ, "received_at"),
     "silver_telemetry": (SILVER, "event_timestamp"),
     "silver_rejects": (SILVER_REJECTS, "processed_at"),
+    "silver_late": (SILVER_LATE, "event_timestamp"),
     "gold_vehicle_health": (GOLD, "window_start"),
     "predictions": (PREDICTIONS, "predicted_at"),
     "alerts": (ALERTS, "created_at"),

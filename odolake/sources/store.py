@@ -120,6 +120,8 @@ class Store:
         for left in self._matching(name, *(["event_date=*"] if time else []), f"batch_id={batch_id}"):
             left.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(left, True)
         out = rows.select(*columns, F.lit(batch_id).cast("bigint").alias("batch_id"))
+        # rows of a date together: few files per date, and a large date is still split
+        out = out.hint("rebalance", *parts) if parts else out
         out.write.mode("append").partitionBy(*parts, "batch_id").parquet(self.path(name))
         self._mark("_commits", name, str(batch_id))
 
@@ -183,14 +185,18 @@ class Store:
         def at(text: str):
             return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(text))
 
+        option = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        overwrite = self.spark.sparkContext._gateway.new_array(option, 1)
+        overwrite[0] = option.OVERWRITE
         for swap in self.spark.read.parquet(f"{self.root}/{work}/swaps").collect():  # a row per file
             place = at(swap.place)
             files = place.getFileSystem(conf)
             new = at(swap.new) if swap.new else None
             if new is None or files.exists(new):
-                files.delete(place, False)
-                if new is not None and not files.rename(new, place):
-                    raise OSError(f"cannot put {swap.new} in its place")
+                if new is None:
+                    files.delete(place, False)
+                else:  # in one step: a reader that opens the place finds the old file or the new one
+                    jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), conf).rename(new, place, overwrite)
         path, files = self._file(work, "batch")
         source = files.open(path)
         batch_id = source.readLong()

@@ -16,7 +16,10 @@ from odolake.operators import cleaning, forest, health, ingest, validation
 from odolake.operators.alerting import with_causes
 from odolake.session import pinned
 from odolake.sources.store import Store, with_batch_ids
-from odolake.streaming.stateful import alert_stream, gated_events
+from odolake.sources.latest_table import LatestTable
+from odolake.streaming.limiter import CarriedBuckets
+from odolake.streaming.panes import CarriedPanes
+from odolake.streaming.stateful import alert_stream
 
 
 class CircuitOpen(RuntimeError):
@@ -41,27 +44,50 @@ def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> S
 
 
 def ingest_query(events: DataFrame, store: Store, checkpoint: str, interval: str | None = "30 seconds",
-                 capacity: int | None = 3, refill_per_second: float = 0.25, **rules) -> StreamingQuery:
+                 capacity: int | None = 3, refill_per_second: float = 0.25, lateness_seconds: float = 60,
+                 **rules) -> StreamingQuery:
     """Limit and validate, then write accepted and refused events as two outputs of one micro-batch.
 
-    Events over the limit are dropped, not dead-lettered; ``capacity=None`` switches the limiter off.
+    A payload is parsed once. The limiter sees key, time and number of an event only, and the numbers it
+    refuses travel back. Events over the limit are dropped, not dead-lettered; ``capacity=None`` switches
+    the limiter off.
     """
+    buckets = None if capacity is None else CarriedBuckets(
+        events.sparkSession, f"{checkpoint}/buckets", capacity, refill_per_second, lateness_seconds)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        numbered = with_batch_ids(batch, batch_id)
-        allowed = F.col("allowed") if "allowed" in batch.columns else None
-        routed = pinned(validation.inspect(numbered, **rules).withColumn("outcome", ingest.outcome(allowed)))
+        inspected = pinned(validation.inspect(with_batch_ids(batch, batch_id), **rules))
+        allowed = None
+        if buckets is not None:
+            verdicts = buckets.decide(inspected, batch_id, key="limiter_key")
+            inspected = inspected.join(verdicts.where(~F.col("allowed")), "id", "left")
+            allowed = F.col("allowed")
+        routed = inspected.withColumn("outcome", ingest.outcome(allowed))
         store.write_batch("bronze_telemetry", ingest.accepted_rows(routed), batch_id)
         store.write_batch("bronze_dlq", ingest.dead_letters(routed), batch_id)
 
-    rows = events if capacity is None else gated_events(events, capacity, refill_per_second, **rules)
-    return _start(rows.writeStream.foreachBatch(write), checkpoint, interval)
+    return _start(events.writeStream.foreachBatch(write), checkpoint, interval)
+
+
+def limit_query(events: DataFrame, out: str, checkpoint: str, interval: str | None = "30 seconds",
+                key: str = "vehicle_id", time: str = "received_at", ident: str = "id", **bucket) -> StreamingQuery:
+    """(id, allowed) of every event as Parquet, a folder per micro-batch."""
+    buckets = CarriedBuckets(events.sparkSession, f"{checkpoint}/buckets", **bucket)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        verdicts = buckets.decide(batch, batch_id, key, time, ident)
+        verdicts.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return _start(events.writeStream.foreachBatch(write), checkpoint, interval)
 
 
 def silver_query(store: Store, checkpoint: str, interval: str | None = "30 seconds",
-                 threshold: float = S.BREAKER_THRESHOLD, on_trip: str = "fail", **options: str) -> StreamingQuery:
+                 threshold: float = S.BREAKER_THRESHOLD, on_trip: str = "fail", latest: LatestTable | None = None,
+                 **options: str) -> StreamingQuery:
     """Clean new raw rows. An open breaker fails the batch, or sets the whole batch aside.
 
+    ``latest`` is kept up to date with the cleaned rows, for readers of the newest state.
+
     The size of a micro-batch is bounded by the source options ``maxFilesPerTrigger`` and
     ``maxBytesPerTrigger``; the checkpoint is the progress mark.
     """
@@ -77,8 +103,11 @@ def silver_query(store: Store, checkpoint: str, interval: str | None = "30 secon
             if on_trip == "fail":
                 raise CircuitOpen(f"{summary.records_failed} of {summary.records_read} records failed")
             rows = rows.withColumn("skip_reason", F.coalesce("skip_reason", F.lit("batch_quarantined")))
-        store.write_batch("silver_telemetry", cleaning.cleaned_rows(rows, now), batch_id)
+        cleaned = cleaning.cleaned_rows(rows, now)
+        store.write_batch("silver_telemetry", cleaned, batch_id)
         store.write_batch("silver_rejects", cleaning.rejected_rows(rows, now), batch_id)
+        if latest is not None:
+            latest.update(cleaned, batch_id)
 
     return _start(store.stream("bronze_telemetry", **options).writeStream.foreachBatch(write), checkpoint, interval)
 
@@ -114,13 +143,40 @@ def gold_stream(silver: DataFrame, slide_seconds: int = 30, lookback_seconds: in
     )
 
 
-def gold_query(store: Store, checkpoint: str, interval: str | None = "30 seconds", **shape) -> StreamingQuery:
-    rows = gold_stream(store.stream("silver_telemetry"), **shape)
+def gold_query(store: Store, checkpoint: str, interval: str | None = "30 seconds", slide_seconds: int = 30,
+               lookback_seconds: int = 300, unit_minutes: float = 1.0, lateness_seconds: float = 60,
+               **options: str) -> StreamingQuery:
+    """Append the windows that each micro-batch closes, and set the readings aside that are too late for theirs."""
+    carried = CarriedPanes(
+        store.spark, f"{checkpoint}/panes", slide_seconds, lookback_seconds, unit_minutes, lateness_seconds)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch("gold_vehicle_health", batch, batch_id)
+        closed, late = carried.update(pinned(batch), batch_id)
+        store.write_batch("gold_vehicle_health", closed, batch_id)
+        store.write_batch("silver_late", late, batch_id)
+
+    return _start(store.stream("silver_telemetry", **options).writeStream.foreachBatch(write), checkpoint, interval)
+
+
+def status_stream(events: DataFrame, silent_seconds: int = 120, lateness: str = "1 minute", time: str = "received_at"
+                  ) -> DataFrame:
+    """``vehicle_id, online_at, offline_at``: the spells in which a vehicle was heard from without a longer silence.
+
+    A vehicle goes off line ``silent_seconds`` after the last event of a spell. Session windows are merged in
+    each task before the shuffle, so a busy vehicle sends one session per task; the state holds open
+    spells only, and a spell comes out once the watermark has passed its end.
+    """
+    named = events.where(F.col("vehicle_id").isNotNull() & (F.col("vehicle_id") != S.ERASED))
+    spell = F.session_window(time, f"{silent_seconds} seconds")
+    spells = named.withWatermark(time, lateness).groupBy("vehicle_id", spell.alias("spell")).agg(F.count("*").alias("events"))
+    return spells.select("vehicle_id", F.col("spell.start").alias("online_at"), F.col("spell.end").alias("offline_at"), "events")
+
 
-    return _start(rows.writeStream.outputMode("append").foreachBatch(write), checkpoint, interval)
+def transitions(spells: DataFrame) -> DataFrame:
+    """``vehicle_id, at, status``: the moments at which vehicles go on and off line."""
+    both = F.array(F.struct(F.col("online_at").alias("at"), F.lit("online").alias("status")),
+                   F.struct(F.col("offline_at").alias("at"), F.lit("offline").alias("status")))
+    return spells.select("vehicle_id", F.inline(both))
 
 
 def predict_query(store: Store, checkpoint: str, live: forest.Forest, candidate: forest.Forest | None = None,

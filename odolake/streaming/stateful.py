@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from odolake import schemas as S
 from odolake.functions.timing import MICROS
-from odolake.operators import validation
 from odolake.operators.rate_limit import bucket_times, decide
 
 _NEVER = -(2**62)
@@ -54,49 +53,6 @@ def limit_stream(events: DataFrame, key: str = "vehicle_id", time: str = "receiv
     )
 
 
-class GateProcessor(StatefulProcessor):
-    """Passes the events of one key on with the limiter's answer; an idle key's state expires once its bucket is full."""
-
-    def __init__(self, interval: int, slack: int):
-        self.interval, self.slack = interval, slack
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        full_after = (self.interval + self.slack) // 1000 + 1
-        self.full_at = handle.getValueState("full_at", "full_at BIGINT", full_after)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if key[0].startswith(_UNLIMITED):
-            for frame in rows:
-                yield frame[_PASSED].assign(allowed=True)
-            return
-        events = pd.concat(list(rows)).sort_values(["t", "raw_payload"])
-        state = self.full_at.get()[0] if self.full_at.exists() else _NEVER
-        state, allowed = decide(state, events["t"].tolist(), self.interval, self.slack)
-        self.full_at.update((state,))
-        yield events[_PASSED].assign(allowed=allowed)
-
-    def close(self) -> None:
-        pass
-
-
-_PASSED = ["raw_payload", "received_at", "client_ip"]
-_UNLIMITED = "\0"  # no id begins like this; events that never reach the limiter are spread over such keys
-
-
-def gated_events(events: DataFrame, capacity: int = 3, refill_per_second: float = 0.25, **rules) -> DataFrame:
-    """``raw_payload, received_at, client_ip, allowed`` of a stream of raw events."""
-    interval, slack = bucket_times(capacity, refill_per_second)
-    client = F.col("client_ip") if "client_ip" in events.columns else F.lit(None).cast("string")
-    spread = F.concat(F.lit(_UNLIMITED), F.pmod(F.xxhash64("raw_payload"), F.lit(256)).cast("string"))
-    keyed = validation.inspect(events.withColumn("client_ip", client), **rules).select(
-        F.coalesce("limiter_key", spread).alias("key"), F.unix_micros("received_at").alias("t"), *_PASSED)
-    return keyed.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=GateProcessor(interval, slack),
-        outputStructType="raw_payload STRING, received_at TIMESTAMP, client_ip STRING, allowed BOOLEAN",
-        outputMode="append", timeMode="processingTime",
-    )
-
-
 class AlertProcessor(StatefulProcessor):
     """Run length of anomalous windows and the last alert of one vehicle."""
 

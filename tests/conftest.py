@@ -18,6 +18,20 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def no_stream_outlives_its_test(request):
+    yield
+    if "spark" in request.fixturenames:
+        for query in request.getfixturevalue("spark").streams.active:
+            query.stop()
+
+
+def ended(query, seconds: int = 180) -> None:
+    """Wait for a stream that has to end by itself, without an error."""
+    assert query.awaitTermination(seconds) is True
+    assert query.exception() is None
+
+
 def ago(**kw) -> datetime:
     return NOW - timedelta(**kw)
 
@@ -30,7 +44,7 @@ def vehicle_rows(spark, *ids):
 
 
 # readings a test does not care about
-FILL = {"state_of_charge_kwh": 21.5, "voltage_v": 345.0, "current_a": 11.75, "motor_temp_c": 36.5,
+FILL = {"state_of_charge_kwh": 21.5, "voltage_v": 288.25, "current_a": 11.75, "motor_temp_c": 36.5,
         "latitude": 47.3125, "longitude": 8.55, "speed_kmh": 17.0}
 
 

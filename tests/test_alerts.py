@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from conftest import ended
 
 from odolake import schemas as S
 from odolake.operators import alerting as A
@@ -91,7 +92,7 @@ def test_a_rescored_history_gives_the_same_alerts_three_ways(spark, tmp_path):
     stream = spark.readStream.schema(S.PREDICTIONS).parquet(f"{tmp_path}/p")
     query = alert_stream(stream).writeStream.format("memory").queryName("rescored").option(
         "checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
-    query.awaitTermination()
+    ended(query)
     assert at(spark.table("rescored")) == [30]
     gold = spark.createDataFrame(
         [("VF-001", T0, 1.0, 1.0, 1.0, 1.0, 1.0, T0)],

@@ -5,6 +5,7 @@ import pytest
 from conftest import NOW
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from odolake.operators import rate_limit as R
 
@@ -99,3 +100,42 @@ def test_a_hot_key_is_linear():
     for t in times:
         pieces = R.extend_pieces(pieces, t, interval, slack, end)
     assert len(pieces) <= 9 and time.perf_counter() - began < max(2.0, 400 * plain)
+
+
+@pytest.mark.parametrize("cuts", [(150,), (40, 41, 200), tuple(range(20, 300, 20))])
+def test_batches_that_carry_their_buckets_equal_one_history(spark, tmp_path, cuts):
+    """A hot key, idle keys, ties across the border of two batches, empty batches and a repeated one."""
+    from odolake.streaming.limiter import CarriedBuckets
+
+    r = random.Random(4)
+    rows, t = [], 0.0
+    for i in range(300):
+        t += r.choice([0, 0, 0.1, 0.7, 5])
+        rows.append((i, r.choice(["hot"] * 8 + ["a", "b", None]), NOW + timedelta(seconds=t)))
+    events = spark.createDataFrame(rows, "id BIGINT, vehicle_id STRING, received_at TIMESTAMP")
+    want = {r.id: r.allowed for r in R.token_bucket(events).collect()}
+    got = {}
+    for n, (a, b) in enumerate(zip((0, *cuts), (*cuts, 300))):
+        batch = events.where(f"id >= {a} AND id < {b}")
+        for attempt in range(2 if n == 1 else 1):  # as after a failure
+            buckets = CarriedBuckets(spark, str(tmp_path / "states"), lateness_seconds=1)
+            out = {x.id: x.allowed for x in buckets.decide(batch, n, partitions=4).collect()}
+        got |= out
+    assert got == want
+    last = buckets.states.newest()
+    assert last.where("key IS NOT NULL").count() <= 3 and len(buckets.states.numbers()) == min(3, len(cuts) + 1)
+
+
+def test_one_key_with_most_events_is_shared_out(spark, tmp_path):
+    from odolake.streaming.limiter import CarriedBuckets
+
+    rows = spark.range(40_000).select(
+        "id", F.when(F.col("id") % 10 == 0, F.format_string("k%d", F.col("id") % 700)).otherwise("hot").alias("vehicle_id"),
+        F.timestamp_micros(F.lit(10**15) + F.col("id") * 1000).alias("received_at"))
+    buckets = CarriedBuckets(spark, str(tmp_path / "states"))
+    first = buckets.decide(rows.where("id < 20000"), 0, partitions=8)
+    second = buckets.decide(rows.where("id >= 20000"), 1, partitions=8)
+    sizes = [r["count"] for r in second.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 7 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+    want = {tuple(r) for r in R.token_bucket(rows).collect()}
+    assert {tuple(r) for r in first.unionByName(second).collect()} == want

@@ -2,7 +2,7 @@ import json
 from datetime import timedelta
 
 import pytest
-from conftest import NOW, ago, bronze_rows, silver_rows, vehicle_rows
+from conftest import NOW, ago, bronze_rows, ended, silver_rows, vehicle_rows
 from pyspark.sql import functions as F
 from test_validation import changed
 
@@ -154,8 +154,7 @@ def test_a_failing_stage_is_named_and_does_not_stop_the_others(spark, store, mon
 
 def silver_stream(store, checkpoint):
     q = jobs.silver_query(store, str(checkpoint), None)
-    q.awaitTermination(120)
-    assert q.exception() is None
+    ended(q)
     rows = store.read("silver_telemetry").select("bronze_id").collect()
     assert len(rows) == len(set(rows)) and store.read("silver_rejects").count() == 0
     return len(rows)
@@ -213,10 +212,9 @@ def test_stream_from_text_to_gold(spark, store, tmp_path):
         for start in (lambda: jobs.ingest_query(
                           jobs.raw_text(spark, str(inbox), arrival), store, str(tmp_path / "c1"), None, capacity=None),
                       lambda: jobs.silver_query(store, str(tmp_path / "c2"), None),
-                      lambda: jobs.gold_query(store, str(tmp_path / "c3"), None, lateness="10 seconds")):
+                      lambda: jobs.gold_query(store, str(tmp_path / "c3"), None, lateness_seconds=10)):
             q = start()
-            q.awaitTermination(120)
-            assert q.exception() is None
+            ended(q)
 
     run()
     assert store.read("bronze_telemetry").count() == 30 and store.read("bronze_dlq").count() == 2
@@ -238,14 +236,31 @@ def test_the_limiter_stands_before_the_field_checks_of_a_stream(spark, store, tm
     (inbox / "a.txt").write_text("\n".join(lines))
     events = jobs.raw_text(spark, str(inbox), F.lit(NOW)).withColumn("client_ip", F.lit("10.0.0.9"))
     q = jobs.ingest_query(events, store, str(tmp_path / "c"), None)
-    q.awaitTermination(120)
-    assert q.exception() is None
+    ended(q)
     assert store.read("bronze_telemetry").count() == 3  # of six, the capacity
     refused = store.read("bronze_dlq").collect()
     assert sorted(r.error_reason.split(":")[0] for r in refused) == ["invalid_json", "out_of_range"]
     assert {r.client_ip for r in refused} == {"10.0.0.9"}
 
 
+def test_the_limiter_keeps_its_buckets_between_micro_batches(spark, store, tmp_path):
+    """Eight events of one vehicle within a second, in two files read one after the other: the capacity passes once."""
+    inbox = tmp_path / "inbox"
+    for n in (0, 1):
+        rows = [(changed(vehicle_id="VF-001", speed_kmh=4 * n + k), NOW + timedelta(seconds=(4 * n + k) / 10), "10.0.0.9")
+                for k in range(4)]
+        spark.createDataFrame(rows, "raw_payload STRING, received_at TIMESTAMP, client_ip STRING").coalesce(1).write.mode(
+            "append").parquet(str(inbox))
+        events = spark.readStream.schema("raw_payload STRING, received_at TIMESTAMP, client_ip STRING").option(
+            "maxFilesPerTrigger", 1).parquet(str(inbox))
+        if n == 0:  # once for the first file, then restarted with both
+            ended(jobs.ingest_query(events, store, str(tmp_path / "c"), None))
+            assert sorted(r.speed_kmh for r in store.read("bronze_telemetry").collect()) == [0, 1, 2]
+    ended(jobs.ingest_query(events, store, str(tmp_path / "c"), None))
+    assert sorted(r.speed_kmh for r in store.read("bronze_telemetry").collect()) == [0, 1, 2]
+    assert store.read("bronze_dlq").count() == 0
+
+
 def test_open_breaker_stops_the_stream_or_sets_the_batch_aside(spark, store, tmp_path):
     store.write_batch("bronze_telemetry", bronze_rows(
         spark, [(i, "VF-001", ago(seconds=9), 999.0 if i < 9 else 50.0) for i in range(10)]), 1)
@@ -253,7 +268,7 @@ def test_open_breaker_stops_the_stream_or_sets_the_batch_aside(spark, store, tmp
     with pytest.raises(Exception, match="8|9"):
         q.awaitTermination(60)
     assert store.read("silver_telemetry").count() == 0
-    jobs.silver_query(store, str(tmp_path / "d"), None, on_trip="quarantine").awaitTermination(60)
+    ended(jobs.silver_query(store, str(tmp_path / "d"), None, on_trip="quarantine"))
     assert store.read("silver_telemetry").count() == 0
     assert store.read("silver_rejects").where("skip_reason = 'batch_quarantined'").count() == 1
     assert store.read("silver_rejects").count() == 10
@@ -262,8 +277,7 @@ def test_open_breaker_stops_the_stream_or_sets_the_batch_aside(spark, store, tmp
 def _drain(stream, path, checkpoint):
     q = (stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination(120)
-    assert q.exception() is None
+    ended(q)
 
 
 def test_streamed_limiter_and_alerts_equal_batch(spark, store, tmp_path):
@@ -306,8 +320,7 @@ def test_streams_score_and_alert(spark, store, tmp_path):
     for start_query in (lambda: jobs.predict_query(store, str(tmp_path / "p"), live, shadow, None),
                         lambda: jobs.alert_query(store, str(tmp_path / "a"), None)):
         q = start_query()
-        q.awaitTermination(120)
-        assert q.exception() is None
+        ended(q)
     assert {(r.mode, r["count"]) for r in store.read("predictions").groupBy("mode").count().collect()} == {
         ("production", 200), ("shadow", 200)}
     alerts = store.read("alerts").collect()
