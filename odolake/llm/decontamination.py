@@ -6,9 +6,12 @@ occur in the document, on diagonals (place in the document minus place in the it
 span no more than ``k + 1``. Diagonals are therefore dealt into overlapping bands, twice that
 wide and one such width apart: one band holds all of them. Bands with fewer shared q-grams
 than the bound are dropped without loss; the text of the others is aligned with the item.
+An item so short that ``k`` edits could spoil all its q-grams gets shorter ones, of at most
+``m / (k + 1)`` characters, so the bound is never below one and no item loses any of its edits.
 
 Documents never move. The benchmark is taken in blocks of bounded size, each one broadcast
-as an index and held against all documents.
+as an index and held against all documents; with several blocks each one's result is
+written before the next is sent, so one index is held at a time.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from odolake.llm.common import staged
 from odolake.llm.words import mix
 
 Q = 8
@@ -50,9 +54,19 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
     return mix(out)
 
 
+def allowed_edits(sizes: np.ndarray, edit_rate: float) -> np.ndarray:
+    return np.floor(sizes * edit_rate + 1e-9).astype(np.int64)
+
+
+def gram_length(size: int, q: int, edit_rate: float) -> int:
+    """``q``, or as much less as leaves one q-gram whole after all the edits of an item of so many characters."""
+    k = int(allowed_edits(np.array([size]), edit_rate)[0])
+    return min(q, max(1, size // (k + 1))) if k else q
+
+
 @dataclass
 class Index:
-    """A block of the benchmark: items by their q-grams."""
+    """Items of a block of the benchmark by their q-grams; all of them with q-grams of one length."""
 
     ids: list
     texts: list[str]
@@ -70,8 +84,7 @@ class Index:
     def build(cls, rows: list[tuple], q: int, edit_rate: float) -> Index:
         ids, texts = [r[0] for r in rows], [normal(r[1]) for r in rows]
         sizes = np.array([len(t) for t in texts], np.int64)
-        # no more edits than leave one q-gram whole
-        edits = np.minimum((sizes * edit_rate).astype(np.int64), np.maximum(sizes - q, 0) // q)
+        edits = allowed_edits(sizes, edit_rate)
         hashes, item, place = [], [], []
         for k, t in enumerate(texts):
             h = gram_hashes(points(t), q)
@@ -180,26 +193,31 @@ def align(item: str, region: str, k: int) -> tuple[int, int, int] | None:
     return int(row[end]), end - int(back.argmin()), end
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, q: int, edit_rate: float) -> Iterator[Index]:
+def _blocks(benchmark: DataFrame, item_id: str, text: str, q: int, edit_rate: float) -> Iterator[tuple[list[Index], bool]]:
+    """Blocks of the benchmark, an index for each length of q-grams; and whether there is more than one block."""
     rows = benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).where(
         F.length(F.btrim("t")) > 0)
     chars = rows.agg(F.sum(F.length("t"))).first()[0] or 0
     count = -(-chars // BLOCK_CHARS)
     for k in range(count):
         part = rows if count == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == k)
-        block = [(r.i, r.t) for r in part.collect() if normal(r.t)]
+        block: dict[int, list] = {}
+        for r in part.collect():
+            if size := len(normal(r.t)):
+                block.setdefault(gram_length(size, q, edit_rate), []).append((r.i, r.t))
         if block:
-            yield Index.build(block, q, edit_rate)
+            yield [Index.build(items, length, edit_rate) for length, items in sorted(block.items())], count > 1
 
 
-def _looked_at(texts: list, index: Index) -> Iterator[tuple[int, int, int, int, int]]:
-    """Matches of a batch, a bounded number of characters at a time."""
+def _looked_at(texts: list, indexes: list[Index]) -> Iterator[tuple]:
+    """Document number, item id, start, end and edits of a batch's matches, a bounded number of characters at a time."""
     a, size = 0, 0
     for b in range(len(texts)):
         size += len(texts[b] or "")
         if size >= CHUNK_CHARS or b == len(texts) - 1:
-            for doc, *rest in index.matches([t or "" for t in texts[a:b + 1]]):
-                yield doc + a, *rest
+            for index in indexes:
+                for doc, item, *rest in index.matches([t or "" for t in texts[a:b + 1]]):
+                    yield doc + a, index.ids[item], *rest
             a, size = b + 1, 0
 
 
@@ -209,17 +227,18 @@ def contained(
 ) -> DataFrame:
     """One row per document and item it holds: id, ``item_id, start, end, edits``.
 
-    Compared after lower-casing and with single blanks; start and end count characters of
+    An item is held if a stretch of the document is within a tenth of the item's characters (rounded down) in
+    edits of it, whatever its length. Compared after lower-casing and with single blanks; start and end count characters of
     that form. Missing and empty texts hold nothing, empty items are held by none, items
-    shorter than ``q`` must occur unchanged. Repeated rows are reported as often as they occur.
+    of less than ten characters must occur unchanged. Repeated rows are reported as often as they occur.
     """
     spark: SparkSession = docs.sparkSession
     kinds = [docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()]
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, start long, end long, edits int"
     source = docs.select(F.col(id_col).alias("d"), F.col(text).alias("t"))
     out = None
-    for index in _blocks(benchmark, item_id, item_text, q, edit_rate):
-        sent = spark.sparkContext.broadcast(index)
+    for indexes, several in _blocks(benchmark, item_id, item_text, q, edit_rate):
+        sent = spark.sparkContext.broadcast(indexes)
 
         def look(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -227,11 +246,14 @@ def contained(
                 if found:
                     doc, item, a, b, edits = zip(*found)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("d").take(pa.array(doc)), pa.array([sent.value.ids[k] for k in item]),
-                         pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(edits, pa.int32())],
+                        [batch.column("d").take(pa.array(doc)), pa.array(item), pa.array(a, pa.int64()),
+                         pa.array(b, pa.int64()), pa.array(edits, pa.int32())],
                         names=["doc_id", "item_id", "start", "end", "edits"])
 
         part = source.mapInArrow(look, schema)
+        if several:
+            part = staged(part, "contained")
+            sent.destroy()
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], schema) if out is None else out
 
@@ -240,10 +262,13 @@ def decontaminated(
     docs: DataFrame, benchmark: DataFrame, q: int = Q, edit_rate: float = EDIT_RATE, text: str = "text",
     item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, as they are."""
+    """The rows of ``docs`` that hold no benchmark item, as they are.
+
+    Rows with a missing or empty text stay, and of repeated rows all or none. An empty benchmark removes nothing.
+    """
     position = docs.columns.index(text)
-    for index in _blocks(benchmark, item_id, item_text, q, edit_rate):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
+    for indexes, several in _blocks(benchmark, item_id, item_text, q, edit_rate):
+        sent = docs.sparkSession.sparkContext.broadcast(indexes)
 
         def clean(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -251,4 +276,7 @@ def decontaminated(
                 yield batch.filter(pa.array([k not in found for k in range(batch.num_rows)], pa.bool_()))
 
         docs = docs.mapInArrow(clean, docs.schema)
+        if several:
+            docs = staged(docs, "decontaminated")
+            sent.destroy()
     return docs

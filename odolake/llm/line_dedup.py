@@ -7,16 +7,18 @@ further up in the same document. Documents are ordered by id (missing ids first)
 the hash of the text.
 
 1. Windows. From every line, the shortest stretch with ``min_words`` words to its right and
-   to its left. The smallest line hash of a window is selected as a fingerprint, so every
+   to its left. The smallest line hash of a window is selected as its fingerprint, so every
    shared run holds a shared fingerprint: this is the guarantee of winnowing, with the
-   window measured in words, so that one long line is a window of its own.
-2. Join. Fingerprints are counted over all documents; those met once end here.
-3. Extension. A window guarded by a repeated fingerprint is extended to its whole content
-   on both sides, by the hash of its line hashes, and compared with the earliest window of
-   that content. One row per content is the other side, so a line that
+   window measured in words, so that one long line is a window of its own. A window is no more
+   than its two ends and its fingerprint here.
+2. Join. Fingerprints that stand in one place only end here.
+3. Extension. From the place of a repeated fingerprint the lines of its window are hashed to the left and to
+   the right, and joined with the earliest place where that fingerprint has the same lines on both
+   sides. One row per fingerprint and sides is the other end of the join, so a line that
    occurs in millions of documents links to one place and never to all pairs.
 4. Deletion. Every run is the union of its windows to the right and to the left, so the
-   lines of windows that occur earlier are exactly the lines of repeated runs.
+   lines of windows that occur earlier are exactly the lines of repeated runs: linked windows that
+   touch or overlap are one match, extended as far as it goes.
 
 All steps are DataFrame expressions; arrays never leave their document.
 """
@@ -59,7 +61,7 @@ def _reach(words: Column, min_words: int) -> Column:
 
 
 def windows(lines: DataFrame, min_words: int) -> DataFrame:
-    """One row per window: document, first and last line, smallest line hash and its place, content hash."""
+    """One row per window: document, places of its first line, last line and fingerprint among the lines, fingerprint."""
     span = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
     at = lambda k: F.get(F.col("w"), k)
 
@@ -76,26 +78,42 @@ def windows(lines: DataFrame, min_words: int) -> DataFrame:
     spans = F.array_distinct(F.filter(
         F.concat(F.transform(every, right), F.transform(every, left)), lambda s: s["a"].isNotNull()))
     out = lines.withColumn("spans", once(spans)).withColumn("span", F.explode("spans")).select(
-        "d", "t", F.get(F.col("r"), F.col("span.a")).alias("a"), F.get(F.col("r"), F.col("span.b")).alias("b"),
-        F.slice("r", F.col("span.a") + 1, F.col("span.b") - F.col("span.a") + 1).alias("r"),
+        "d", "t", F.col("span.a").alias("a"), F.col("span.b").alias("b"),
         F.slice("h", F.col("span.a") + 1, F.col("span.b") - F.col("span.a") + 1).alias("h"))
     least = F.array_min("h")
-    return out.select("d", "t", "a", "b", least.alias("finger"),
-                      F.get(F.col("r"), (F.array_position("h", least) - 1).cast("int")).alias("at"),
-                      F.xxhash64("h").alias("content"))
+    return out.select("d", "t", "a", "b", (F.col("a") + F.array_position("h", least) - 1).cast("int").alias("m"),
+                      least.alias("finger"))
+
+
+def extended(guarded: DataFrame, lines: DataFrame) -> DataFrame:
+    """Windows ``d, t, a, b, m, finger`` with hashes of the lines on both sides of the fingerprint; ends as line numbers."""
+    per = guarded.groupBy(F.col("d").alias("gd"), F.col("t").alias("gt")).agg(  # no more than two entries per line
+        F.collect_set(F.struct("a", "b", "m", "finger")).alias("spans"))
+    both = lines.join(per, lines["d"].eqNullSafe(per["gd"]) & (lines["t"] == per["gt"]))
+    line = lambda k: F.get(F.col("r"), k)
+
+    def reach(s: Column) -> Column:
+        return F.struct(
+            line(s["a"]).alias("a"), line(s["b"]).alias("b"), s["finger"].alias("finger"),
+            F.xxhash64(F.slice("h", s["a"] + 1, s["m"] - s["a"])).alias("left"),
+            F.xxhash64(F.slice("h", s["m"] + 2, s["b"] - s["m"])).alias("right"))
+
+    return both.select("d", "t", F.inline(F.transform("spans", reach)))
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Spans ``a..b`` of lines that occur earlier: ``d, t`` (document), ``a, b, source``."""
-    rows = staged(windows(line_table(docs, id_col, text), min_words), "windows")
-    places = rows.select("finger", F.xxhash64("d", "t", "at").alias("place"))
+    lines = staged(line_table(docs, id_col, text).dropDuplicates(["d", "t"]), "lines")
+    rows = staged(windows(lines, min_words), "windows")
+    places = rows.select("finger", F.xxhash64("d", "t", "m").alias("place"))
     often = places.groupBy("finger").agg(
         F.min("place").alias("lo"), F.max("place").alias("hi")).where(F.col("lo") != F.col("hi")).select("finger")
-    guarded = staged(rows.join(often, "finger", "left_semi").select("content", "d", "t", "a", "b"), "guarded")
+    found = staged(extended(rows.join(often, "finger", "left_semi"), lines), "extended")
     place = F.struct("d", "t", "a")
-    first = guarded.groupBy("content").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = first.where(F.col("first") != F.col("last")).select("content", "first")
-    met = guarded.join(first, "content").where(F.col("first") < place)
+    match = ["finger", "left", "right"]
+    first = found.groupBy(*match).agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = first.where(F.col("first") != F.col("last")).select(*match, "first")
+    met = found.join(first, match).where(F.col("first") < place)
     return met.select("d", "t", "a", "b", F.col("first.d").alias("source"))
 
 
@@ -153,7 +171,10 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` in their own columns with cleaned texts; a document that lost all its words goes."""
+    """``docs`` in their own columns with cleaned texts; a document that lost all its words goes.
+
+    Missing and empty texts lose nothing and stay. Rows that share id and text have one fate.
+    """
     aside = {c: hidden(docs, f"l_own_{i}") for i, c in enumerate(docs.columns)}
     inner = docs.select(*[F.col(c).alias(aside[c]) for c in docs.columns])
     out = dedup_lines(inner, min_words, aside[id_col], aside[text])

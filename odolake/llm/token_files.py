@@ -22,6 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,11 +30,12 @@ from odolake.llm.common import hidden
 from odolake.llm.tokens import BYTE_LEVEL, encoder
 from odolake.session import staging_path
 
-ROWS_PER_FILE = 16_384
+TASK_BYTES = 256 << 20  # of text that one task encodes
+FILE_BYTES = 64 << 20  # a file ends with the document that reaches so many bytes of ids
 NO_ID = np.iinfo(np.int64).min
 READ_ROWS = 2_000  # documents per batch when reading back
 
-MANIFEST = "part int, stem string, n_docs long, n_tokens long"
+MANIFEST = "task int, part int, stem string, n_docs long, n_tokens long"
 
 
 def _storage(root: str):
@@ -43,70 +45,65 @@ def _storage(root: str):
     return fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
 
 
-def _bounds(docs: DataFrame, id_col: str) -> list[float]:
-    """Ids that split the documents into files of about equal numbers of rows."""
-    spark = docs.sparkSession
-    files = max(spark.sparkContext.defaultParallelism, -(-docs.count() // ROWS_PER_FILE))
-    if files == 1:
-        return []
-    shares = [k / files for k in range(1, files)]
-    return sorted(set(docs.approxQuantile(id_col, shares, 0.1 / files)))
-
-
 def write(
     docs: DataFrame, tokenizer: str, root: str | None = None, id_col: str = "doc_id", text: str = "text", end_id: int = 0,
-    vocabulary: int = 50_257,
+    vocabulary: int = 50_257, task_bytes: int = TASK_BYTES, file_bytes: int = FILE_BYTES,
 ) -> str:
     """Encode ``docs`` into files below ``root`` and return that folder.
 
     A missing text is an empty one; every document ends with ``end_id``. Documents without
-    an id come first; rows with the same id stand together, by their text.
+    an id come first; rows with the same id stand together, by a hash of their text. Tasks take ranges of
+    ids, as many as the bytes of all texts ask for, and a task begins a new file when one is full.
     """
     spark = docs.sparkSession
     root = root or staging_path(spark, "token-files")
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
-    bounds = np.array(_bounds(docs, id_col))
     end = np.array([end_id], dtype).tobytes()
-
-    def encoded(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer, BYTE_LEVEL, dtype)
-        for frame in frames:
-            doc = frame["d"].to_numpy()
-            part = np.searchsorted(bounds, doc, side="right")
-            yield pd.DataFrame({"part": part.astype(np.int32), "d": doc, "ids": [
-                ids + end for ids in encode(frame["t"])]})
+    width = np.dtype(dtype).itemsize
 
     def written(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encode = encoder(tokenizer, BYTE_LEVEL, dtype)
         store, folder = _storage(root)
         store.create_dir(folder, recursive=True)
-        part, stem, total, n, files = None, "", 0, 0, []
+        task, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
+        number, n, total, files, stem = 0, 0, 0, [], ""
 
-        def close() -> dict:
+        def closed() -> pd.DataFrame:
             for f in files:
                 f.close()
-            return {"part": [part], "stem": [stem], "n_docs": [n], "n_tokens": [total]}
+            return pd.DataFrame({"task": [task], "part": [number], "stem": [stem], "n_docs": [n], "n_tokens": [total]})
 
         for frame in frames:
-            for number, rows in frame.groupby("part", sort=False):
-                if number != part:
-                    if part is not None:
-                        yield pd.DataFrame(close())
-                    part, stem, total, n = number, f"{number:06d}-{uuid.uuid4().hex}", 0, 0
+            ids = [x + end for x in encode(frame["t"])]
+            doc, lengths, a = frame["d"].to_numpy(), np.array([len(x) for x in ids], np.int64), 0
+            while a < len(ids):
+                if not files:
+                    n, total, stem = 0, 0, f"{task:06d}-{number:04d}-{attempt}"
                     files = [store.open_output_stream(f"{folder}/{kind}-{stem}.bin") for kind in ("tokens", "offsets", "ids")]
                     files[1].write(np.zeros(1, "<i8").tobytes())
-                ends = total + np.cumsum([len(x) for x in rows["ids"]], dtype=np.int64) // np.dtype(dtype).itemsize
-                files[0].write(b"".join(rows["ids"]))
-                files[1].write(ends.astype("<i8").tobytes())
-                files[2].write(rows["d"].to_numpy().astype("<i8").tobytes())
-                total, n = int(ends[-1]), n + len(rows)
-        if part is not None:
-            yield pd.DataFrame(close())
-
-    number = F.coalesce(F.col(id_col).cast("bigint"), F.lit(int(NO_ID)))
-    source = docs.select(number.alias("d"), F.col(text).alias("t"))
-    dealt = source.mapInPandas(encoded, "part int, d long, ids binary").repartitionById(len(bounds) + 1, "part")
-    rows = dealt.sortWithinPartitions("part", "d", "ids").mapInPandas(written, MANIFEST).toPandas()  # a row per file
-    rows = rows.sort_values("part", ignore_index=True)
+                upto = total * width + np.cumsum(lengths[a:])
+                full = int(np.searchsorted(upto, file_bytes))  # the document that ends the file
+                b = min(a + full + 1, len(ids))
+                files[0].write(b"".join(ids[a:b]))
+                files[1].write((upto[:b - a] // width).astype("<i8").tobytes())
+                files[2].write(doc[a:b].astype("<i8").tobytes())
+                n, total = n + b - a, int(upto[b - a - 1]) // width
+                if full < len(upto):
+                    yield closed()
+                    files, number = [], number + 1
+                a = b
+        if files:
+            yield closed()
+
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // task_bytes))
+    source = docs.select(
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(int(NO_ID))).alias("d"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("h"),
+        F.col(text).alias("t"))
+    dealt = source.repartitionByRange(tasks, "d", "h").sortWithinPartitions("d", "h")
+    rows = dealt.mapInPandas(written, MANIFEST).toPandas()  # a row per file
+    rows = rows.sort_values(["task", "part"], ignore_index=True)
+    rows["part"] = np.arange(len(rows), dtype=np.int32)
     rows["base"] = rows["n_tokens"].cumsum() - rows["n_tokens"]
     rows["dtype"] = dtype
     spark.createDataFrame(rows, f"{MANIFEST}, base long, dtype string").coalesce(1).write.parquet(f"{root}/manifest")

@@ -33,7 +33,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # their strings in a text become ids of their own, so such a text goes to the tokenizer as a whole
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pattern, self.dtype = pattern, dtype
         self.lower = pattern is WORD_LEVEL
         # what can stand before a word without a space, and whether it has ids of its own
@@ -66,7 +67,8 @@ class Encoder:
         flat = [t.lower() for t in texts] if self.lower else texts
         cut = [self.pattern.findall(t) for t in flat]
         blanks = (lambda t: sum(map(t.count, " \n\t\r"))) if self.lower else (lambda t: 0)
-        plain = [sum(map(len, parts)) + blanks(t) == len(t) for parts, t in zip(cut, flat)]
+        plain = [sum(map(len, parts)) + blanks(t) == len(t) and not any(x in t or x in raw for x in self.special)
+                 for parts, t, raw in zip(cut, flat, texts)]
         new = set().union(*[parts for parts, ok in zip(cut, plain) if ok]).difference(self.known)
         full = len(self.known) + len(new) > CACHE_ENTRIES
         self._learn(new)

@@ -1,6 +1,7 @@
 """Sharding, packing, token files, the two classifiers and page extraction."""
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 from functools import cache
@@ -26,9 +27,7 @@ def frame(spark, rows):
 
 @cache
 def tokenizer(path):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)
 
 
 def whole(path, text):
@@ -203,6 +202,16 @@ def test_token_files_round_trip(spark):
         assert (x.doc_id, x.start, x.n_tokens, x.ids_crc32) == (d, start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
     assert token_files.read(spark, token_files.write(frame(spark, []), BYTES)).count() == 0
+    small = token_files.write(frame(spark, rows), BYTES, file_bytes=60)  # files end by their bytes
+    assert spark.read.parquet(f"{small}/manifest").count() > 5
+    assert [tuple(x) for x in token_files.read(spark, small).orderBy("start").collect()] == [tuple(x) for x in out]
+
+
+def test_special_tokens_in_a_text_get_their_own_ids():
+    for path, pattern, dtype in ((BYTES, tokens.BYTE_LEVEL, "<u2"), (WORDS, tokens.WORD_LEVEL, "<u4")):
+        for text in ("a <|endoftext|> b", "<|endoftext|>", "plain<|endoftext|>", "<|EndOfText|> x"):
+            got = np.frombuffer(tokens.encoder(path, pattern, dtype)([text])[0], dtype)
+            assert got.tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
 # --- classifiers --------------------------------------------------------------
@@ -286,6 +295,11 @@ def test_reading_broken_markup():
     assert [n.text for n in nodes if n.tag == "#text"] == ["a & b c", "d e", "f", "g", "h", "j <"]
     assert [nodes[n.parent].tag for n in nodes if n.text in ("f", "g")] == ["li", "li"]
     assert len(read("<div>" * 5000 + "deep" + "</div>" * 5000)) == 5002
+    for page in ("<a " * 350_000, '<a ">" ' * 150_000, "<div>" * 100_000 + "</nav>" * 100_000, "<svg>" * 200_000,
+                 "<li><ul>" + "<form>" * 80_000 + "<li></li>" * 60_000, "<script>" + "</script " * 120_000):
+        began = time.perf_counter()
+        read(page)  # a megabyte each
+        assert time.perf_counter() - began < 15
 
 
 def test_marginals_equal_enumeration():

@@ -64,6 +64,29 @@ def test_quality_verdict_does_not_depend_on_the_order(spark):
     order = quality_rules.cascade_order(rows)
     assert sorted(r.name for r in order) == sorted(r.name for r in quality_rules.RULES)
     assert quality_rules.keep_good(rows).columns == ["doc_id", "text"]
+    every = (*quality_rules.BASE_RULES, *quality_rules.RULES)
+    for rules in (every, every[::-1], None):
+        assert [x.doc_id for x in quality_rules.keep_good(rows, rules=rules).collect()] == [0]
+
+
+def test_order_goes_by_rejections_per_cost():
+    a, b, c = quality_rules.RULES[:3]
+    seen = [((True, False, True), 50), ((False, True, False), 20), ((False, False, True), 10), ((False, False, False), 900)]
+    order = lambda *cost: quality_rules.ordered([a, b, c], cost, seen)
+    assert order(1, 1, 100) == [a, b, c]
+    assert order(100, 1, 1) == [c, b, a]  # what is left for the first rejects nothing any more
+    assert order(1, 0.1, 9) == [b, a, c]
+    assert order(1, 1.1, 0.9) == order(1, 0.9, 1.1)  # no clear difference: as listed
+
+
+def test_costs_are_those_of_the_rules_own_work(spark):
+    """A rule that does far more comes after one that does little, whatever the place in the list, run after run."""
+    texts = [" ".join(f"w{(k * j) % 50}" for j in range(400)) for k in range(400)]
+    rows = frame(spark, list(enumerate(texts)))
+    cheap = quality_rules.Rule("cheap", lambda c: c("n_words") > 100)
+    costly = quality_rules.Rule("costly", lambda c: (c("n_repeat_words") >= 0) & (c("n_words") > 100))
+    for rules in ([cheap, costly], [costly, cheap], [costly, cheap]):
+        assert [r.name for r in quality_rules.cascade_order(rows, rules)] == ["cheap", "costly"]
 
 
 def test_quality_edges(spark):
@@ -104,6 +127,18 @@ def expected_lines(rows, least):
     return out
 
 
+def test_lines_match_through_their_fingerprint(spark, monkeypatch):
+    """Equal lines on both sides are no match where the selected line itself differs."""
+    side = ["left " * 20, "right " * 20]
+    rows = [(k, "\n".join([side[0].strip(), " ".join(f"own{k}{j}" for j in range(20)), side[1].strip()])) for k in range(12)]
+    out = line_dedup.dedup_lines(frame(spark, rows)).collect()
+    assert {x.n_removed for x in out} == {0}
+    lines = line_dedup.line_table(frame(spark, rows), "doc_id", "text")
+    found = line_dedup.extended(line_dedup.windows(lines, 50), lines)  # without the join on fingerprints
+    same_sides = found.groupBy("left", "right").count().where("count > 1").count()
+    assert same_sides > 0 and found.groupBy("finger", "left", "right").count().where("count > 1").count() == 0
+
+
 def test_line_dedup_equals_brute_force(spark):
     r = random.Random(4)
     rows = list(EDGE)
@@ -240,18 +275,42 @@ def edits_of_best_stretch(item, text):
 def test_decontamination_finds_every_item_within_its_edits(data):
     r = random.Random(data.draw(st.integers(0, 10**6)))
     items = ["".join(r.choice("abcd ") for _ in range(r.randint(1, 90))) for _ in range(4)]
-    index = decontamination.Index.build([(k, t) for k, t in enumerate(items) if decontamination.normal(t)], 8, 0.1)
+    lengths = {}
+    for k, t in enumerate(items):
+        if size := len(decontamination.normal(t)):
+            lengths.setdefault(decontamination.gram_length(size, 8, 0.1), []).append((k, t))
+    indexes = [decontamination.Index.build(rows, q, 0.1) for q, rows in lengths.items()]
     texts = []
     for t in items:
         letters = list(t)
         for _ in range(r.randint(0, len(t) // 10)):
             letters[r.randrange(len(letters))] = r.choice("abcdxyz")
         texts.append("".join(r.choice("efgh ") for _ in range(r.randint(0, 40))) + " " + "".join(letters))
-    got = {(d, index.ids[i]): e for d, i, _, _, e in index.matches(texts)}
+    got = {(d, i): e for d, i, _, _, e in decontamination._looked_at(texts, indexes)}
     for d, text in enumerate(texts):
-        for i, t in enumerate(index.texts):
-            best = edits_of_best_stretch(t, decontamination.normal(text))
-            assert got.get((d, index.ids[i])) == (best if best <= index.edits[i] else None)
+        for k, item in enumerate(items):
+            if t := decontamination.normal(item):
+                best = edits_of_best_stretch(t, decontamination.normal(text))
+                assert got.get((d, k)) == (best if best <= len(t) // 10 else None)
+
+
+def test_items_of_ten_to_forty_characters_keep_all_their_edits(spark):
+    items = ["tenletters", "a dozen ones", "twenty letters at it", "some thirty letters are in this one",
+             "an item of well over forty characters, no less"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id BIGINT, text STRING")
+    spoiled = []
+    for t in items:
+        k = len(t) // 10
+        places = [(2 * j + 1) * len(t) // (2 * k) for j in range(k)]  # spread, so as few q-grams as can be stay whole
+        letters = list(t)
+        for p in places:
+            letters[p] = "#"
+        spoiled.append("".join(letters))
+        letters[0] = "#"
+        spoiled.append("".join(letters))  # one edit too many
+    docs = frame(spark, [(d, f"before it {t} behind it") for d, t in enumerate(spoiled)])
+    out = {(x.doc_id, x.item_id, x.edits) for x in decontamination.contained(docs, bench).collect()}
+    assert out == {(2 * k, k, len(t) // 10) for k, t in enumerate(items)}
 
 
 def test_decontamination(spark, monkeypatch):
