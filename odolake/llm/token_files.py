@@ -30,7 +30,7 @@ from odolake.llm.common import hidden
 from odolake.llm.tokens import BYTE_LEVEL, encoder
 from odolake.session import staging_path
 
-TASK_BYTES = 256 << 20  # of text that one task encodes
+TASK_BYTES = 64 << 20  # of text that one task encodes; it streams, so this is no bound of memory, and a large corpus takes more
 FILE_BYTES = 64 << 20  # a file ends with the document that reaches so many bytes of ids
 NO_ID = np.iinfo(np.int64).min
 READ_ROWS = 2_000  # documents per batch when reading back
