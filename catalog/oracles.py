@@ -586,4 +586,17 @@ ORACLES |= {
         HAVING b <= (SELECT max(received_at) - INTERVAL 10 MINUTE FROM bronze))
       SELECT vehicle_id, {_ts('a')} AS at, 'online' AS status FROM spells
       UNION ALL SELECT vehicle_id, {_ts('b')}, 'offline' FROM spells""",
+    "a6_approx_distinct": WITH + BRONZE + f""" SELECT {_ts("CAST(date_trunc('week', received_at) AS TIMESTAMP)")} AS week,
+        count(DISTINCT vehicle_id) AS exact, 1 AS holds FROM bronze GROUP BY date_trunc('week', received_at)""",
+    "a13_sketch_threshold": WITH + GOLD + f""" SELECT CAST(unnest([0.01, 0.05, 0.5, 0.95]) AS DOUBLE) AS share,
+        (SELECT count(*) FROM gold) AS rows, 1 AS holds""",
+    "x6_score_drift": WITH + GOLD + f""", binned AS (
+        SELECT CAST(window_start AS DATE) AS day, greatest(0, least(19, floor(health_score / {D(5)}))) AS bin, count(*) AS n FROM gold GROUP BY ALL),
+      ref AS (SELECT bin, sum(n) / CAST(sum(sum(n)) OVER () AS DOUBLE) AS share FROM binned WHERE day < DATE '2024-01-11' GROUP BY bin),
+      later AS (SELECT day, sum(n) AS total FROM binned WHERE day >= DATE '2024-01-11' GROUP BY day),
+      bins AS (SELECT unnest(range(20)) AS bin),
+      far AS (SELECT d.day, any_value(d.total) AS total, sum(abs(COALESCE(b.n, 0) / CAST(d.total AS DOUBLE) - COALESCE(r.share, 0))) / 2 AS distance
+        FROM later d CROSS JOIN bins i LEFT JOIN binned b ON b.day = d.day AND b.bin = i.bin LEFT JOIN ref r ON r.bin = i.bin GROUP BY d.day)
+      SELECT CAST(day AS VARCHAR) AS day, CAST(total AS BIGINT) AS rows, round(distance + 1e-9, 6) AS distance,
+        CAST(distance > 0.1 AS INTEGER) AS due FROM far""",
 }

@@ -13,7 +13,7 @@ from catalog.lake import Lake, plain
 from odolake import schemas as S
 from odolake.functions.numeric import round_half_even
 from odolake.operators import (
-    alerting, cleaning, erasure, forest, governance, health, ingest, latest, quantile, rate_limit, validation,
+    alerting, cleaning, drift, erasure, forest, governance, health, ingest, latest, quantile, rate_limit, sketches, validation,
 )
 from odolake.plans import cycle, reports
 from odolake.session import staging_path
@@ -461,6 +461,42 @@ def x4_operational_alarms(t: Lake) -> DataFrame:
     return governance.operational_alarms(t.dlq, reports.stage_health(tables, L.AS_OF, 600))
 
 
+# --- sketches and drift -------------------------------------------------------
+
+@query
+def a6_approx_distinct(t: Lake) -> DataFrame:
+    """Vehicles per week from daily sketches, held against the exact count: an error of five percent at most."""
+    week = F.date_trunc("week", F.col("day").cast("timestamp")).alias("week")
+    about = sketches.distinct_vehicles(sketches.daily_vehicles(t.bronze), week)
+    exact = t.bronze.groupBy(F.date_trunc("week", "received_at").alias("week")).agg(F.countDistinct("vehicle_id").alias("exact"))
+    return about.join(exact, "week").select(
+        "week", "exact", (F.abs(F.col("vehicles") - F.col("exact")) <= F.col("exact") * 0.05 + 1).alias("holds"))
+
+
+SHARES = [0.01, S.CONTAMINATION, 0.5, 0.95]
+
+
+@query
+def a13_sketch_threshold(t: Lake) -> DataFrame:
+    """Quantiles of the health score from daily sketches: each holds its rank within half a percent."""
+    found = sketches.merged_quantiles(sketches.daily_values(t.stored_gold, "health_score", "window_start"), SHARES)
+    rows = None
+    for share, value in zip(SHARES, found):
+        below, upto = F.avg((F.col("health_score") < value).cast("double")), F.avg((F.col("health_score") <= value).cast("double"))
+        one = t.stored_gold.agg(F.lit(share).alias("share"), F.count("*").alias("rows"),
+                                ((below <= share + 0.005) & (upto >= share - 0.005)).alias("holds"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
+@query
+def x6_score_drift(t: Lake) -> DataFrame:
+    """Distance of each day's health scores from those of the first ten days, and whether it asks for a new model."""
+    far = drift.daily_distance(t.stored_gold, "health_score", "window_start", F.lit("2024-01-11").cast("timestamp"), 0.0, 5.0, 20)
+    return far.select(F.col("day").cast("string").alias("day"), "rows", F.round(F.col("distance") + 1e-9, 6).alias("distance"),
+                      (F.col("distance") > 0.1).alias("due"))
+
+
 # --- the same operators as streams --------------------------------------------
 
 def _drained(t: Lake, stream: DataFrame, label: str) -> DataFrame:
@@ -565,7 +601,7 @@ def s7_gold_append(t: Lake) -> DataFrame:
     """The health rows a cycle appends: the snapshot, and the earlier windows that the batch fell into."""
     store = _cleaned(t)
     as_of = datetime.fromisoformat(L.AS_OF)
-    cycle.aggregate_batch(store, 2, as_of, L.WINDOW, L.LOOKBACK, L.UNIT_MINUTES)
+    cycle.aggregate_batch(store, 2, as_of, L.WINDOW, L.LOOKBACK, L.UNIT_MINUTES, cleaned=(0, 1))
     return store.read("gold_vehicle_health").select(*_EXACT)
 
 

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odolake import schemas as S
-from odolake.functions.timing import instant, seconds
-from odolake.operators import alerting, cleaning, forest, health
+from odolake.functions.timing import instant
+from odolake.operators import alerting, cleaning, drift, forest, health
 from odolake.operators.latest import latest_per_key
 from odolake.session import pinned
 from odolake.sources.store import Store, with_batch_ids
+from odolake.sources.versions import Versions
 
 
 HORIZON_DAYS = 30  # how far back scoring, training and alerting look
@@ -27,11 +28,16 @@ def clean_batch(store: Store, batch_id: int, as_of, rows: int | None = None,
     """Clean the new raw rows (the next ``rows`` if given), unless too many of them fail. Returns the summary.
 
     Progress covers rejected rows too, so they are read once; a tripped breaker writes
-    nothing and leaves progress where it was.
+    nothing and leaves progress where it was. It is stored as a row of its own; only a store that has
+    none yet is searched for the highest id that was cleaned.
     """
-    done = store.read("silver_telemetry").select("bronze_id").unionByName(
-        store.read("silver_rejects").select("bronze_id"))
-    watermark = cleaning.progress(done).first().watermark
+    marks = Versions(store.spark, f"{store.root}/_progress/clean", "watermark BIGINT")
+    known = marks.before(batch_id).first()
+    if known is None:
+        done = store.read("silver_telemetry").select("bronze_id").unionByName(
+            store.read("silver_rejects").select("bronze_id"))
+        known = cleaning.progress(done).first()
+    watermark = known.watermark
     batch = cleaning.next_batch(store.read("bronze_telemetry"), watermark, rows).where(F.col("vehicle_id") != S.ERASED)
     assessed = pinned(cleaning.assess(batch, store.read("vehicle_metadata")))
     totals = assessed.agg(*cleaning.failure_summary(threshold), F.max("id").alias("last")).first()
@@ -41,25 +47,27 @@ def clean_batch(store: Store, batch_id: int, as_of, rows: int | None = None,
         store.write_batch("silver_telemetry", cleaning.cleaned_rows(assessed, instant(as_of)), batch_id)
         store.write_batch("silver_rejects", cleaning.rejected_rows(assessed, instant(as_of)), batch_id)
         summary["watermark"] = totals["last"]
+    marks.write(batch_id, store.spark.createDataFrame([(summary["watermark"],)], marks.schema))
     return summary
 
 
 def aggregate_batch(store: Store, batch_id: int, as_of: datetime, window_seconds: float = 30,
-                    lookback_seconds: float = 300, unit_minutes: float = 1.0) -> DataFrame:
-    """Append the health snapshot at ``as_of``, and the earlier windows that this cycle's rows fall into.
+                    lookback_seconds: float = 300, unit_minutes: float = 1.0, cleaned=None) -> DataFrame:
+    """Append the health snapshot at ``as_of``, and the earlier windows that the rows of the ``cleaned`` batches fall into.
 
-    The latter are whole windows of the time grid; they keep a backlog from being lost to Gold.
+    The latter are whole windows of the time grid; they keep a backlog from being lost to Gold. By default they are
+    this batch's rows. Only the batches named and the dates from the oldest of their rows on are read.
     """
     window = timedelta(seconds=window_seconds)
     start = as_of - timedelta(seconds=max(lookback_seconds, window_seconds))
     recent = store.read("silver_telemetry", since=start)
     gold = health.gold_snapshot(recent, as_of, window_seconds, lookback_seconds, unit_minutes)
-    late = store.read("silver_telemetry").where(
-        (F.col("processed_at") == instant(as_of)) & (F.col("event_timestamp") < instant(as_of - window)))
-    oldest = late.agg(F.min("event_timestamp").alias("t")).first().t
+    batches = [batch_id] if cleaned is None else cleaned
+    late = store.read("silver_telemetry", batches=batches).where(F.col("event_timestamp") < instant(as_of - window))
+    oldest = late.agg(F.unix_micros(F.min("event_timestamp")).alias("t")).first().t
     if oldest is not None:
-        rows = store.read("silver_telemetry").where(
-            F.col("event_timestamp") >= F.lit(oldest) - seconds(lookback_seconds + window_seconds))
+        begin = datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=oldest)
+        rows = store.read("silver_telemetry", since=begin - timedelta(seconds=lookback_seconds + window_seconds))
         grid = F.window("event_timestamp", f"{int(window_seconds)} seconds")
         missed = late.select("vehicle_id", grid["start"].alias("window_start")).distinct()
         slid = health.gold_sliding(rows, int(window_seconds), int(lookback_seconds), unit_minutes)
@@ -105,11 +113,21 @@ def stored_model(store: Store, name: str, as_of, refit: bool, seed: int, **model
     return found
 
 
+def drifted(store: Store, as_of, threshold: float, least_rows: int = 100) -> bool:
+    """Whether the newest day's production scores lie too far from those of the days before it."""
+    scores = store.read("predictions", since=_horizon(as_of)).where(F.col("mode") == "production")
+    today = F.to_timestamp(F.to_date(instant(as_of)))
+    distances = drift.daily_distance(scores, "anomaly_score", "predicted_at", today, -0.5, 0.05, 20)
+    return drift.retrain_due(distances, threshold, least_rows)
+
+
 def run_cycle(store: Store, batch_id: int, as_of, seed: int = 42, shadow_seed: int = 99, rows: int | None = None,
-              gold: dict | None = None, model: dict | None = None, alert: dict | None = None, refit: bool = False) -> dict:
+              gold: dict | None = None, model: dict | None = None, alert: dict | None = None, refit: bool = False,
+              drift_threshold: float | None = None) -> dict:
     """One evaluation cycle. A tripped breaker skips the stages after it.
 
-    Models are trained once and then read from the store; ``refit`` trains them anew. A stage
+    Models are trained once and then read from the store; ``refit`` trains them anew, and so does a cycle whose
+    scores have drifted beyond ``drift_threshold``, if one is given. A stage
     that fails is named in ``errors`` and does not stop those after it, which work on what is stored.
     """
     summary: dict = {"errors": {}}
@@ -125,6 +143,9 @@ def run_cycle(store: Store, batch_id: int, as_of, seed: int = 42, shadow_seed: i
     if summary["circuit_open"]:
         return summary
     stage("aggregate", lambda: aggregate_batch(store, batch_id, as_of, **(gold or {})))
+    if drift_threshold is not None:
+        refit = refit or bool(stage("drift", lambda: drifted(store, as_of, drift_threshold)))
+        summary["refit"] = refit
     live = stage("train", lambda: stored_model(store, "production", as_of, refit, seed, **(model or {})))
     if live is None:
         return summary

@@ -72,10 +72,12 @@ class Store:
             folder, files = self._folder(name)
             files.mkdirs(folder)
 
-    def read(self, name: str, since=None) -> DataFrame:
-        """A table; with ``since`` only rows from then on, pruned by date and pushed to the scan."""
+    def read(self, name: str, since=None, batches=None) -> DataFrame:
+        """A table; with ``since`` only rows from then on, pruned by date and pushed to the scan; of some batches only."""
         layout, time = self._layout(name)
         df = self.spark.read.schema(layout).parquet(self.path(name))
+        if batches is not None:
+            df = df.where(F.col("batch_id").isin(list(batches)))
         if since is not None and time:
             start = instant(since)
             df = df.where((F.col("event_date") >= F.to_date(start)) & (F.col(time) >= start))

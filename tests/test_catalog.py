@@ -11,7 +11,8 @@ import __spark_entry__ as contract  # noqa: E402
 from tools.compare import compare  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"m3_forest_nodes", "m4_scores", "m7_shadow_union"}
+# the last ones read the same stores as their neighbours in the catalogue
+SLOW = {"m3_forest_nodes", "m4_scores", "m7_shadow_union", "s3_dlq_append", "e6_audit", "stream_late_rows"}
 
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
