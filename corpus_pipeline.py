@@ -43,7 +43,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each writes Parquet that the next one reads."""
+    """All stages over ``documents``; each writes Parquet that the next one reads.
+
+    Documents with a missing or empty text, or of few words, go in the first stage. Repeated rows and equal texts are
+    one group of near copies, of which one document stays; ties go by the id. Very long documents are
+    read whole and cut into pieces at the end. An empty table gives no piece. Further columns of ``documents``
+    travel along up to the last stage and have no influence.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
