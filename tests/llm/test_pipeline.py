@@ -36,10 +36,20 @@ def test_pipeline(spark, tmp_path):
         ids = np.array([*t.encode(text, add_special_tokens=False).ids, 0], "<u4")
         want[d, len(ids), zlib.crc32(ids.tobytes())] += 1
     assert Counter((x.doc_id, x.length, x.ids_crc32) for x in out) == want
+    sequences = {}
+    for x in out:
+        sequences.setdefault(x.sequence_id, []).append((x.offset, x.length))
+    for pieces in sequences.values():  # gapless from 0, and no sequence is too long
+        ends = [0]
+        for offset, length in sorted(pieces):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+        assert ends[-1] <= 2048
+    assert len(sequences) == -(-sum(x.length for x in out) // 2048)
 
 
 def test_stages_and_queries():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "line_dedup", "ngram_join", "decontamination", "best_fit_packing"]
     names = contract.queries()
-    assert "pipeline" in names and all(sum(q.startswith(f"op{n}_") for q in names) == 1 for n in range(1, 11))
+    assert "pipeline" in names and all(sum(q.startswith(f"op{n}_") for q in names) == 1 for n in range(1, 14))
