@@ -4,8 +4,10 @@ Folding undoes disguises: compatibility forms, letters of other scripts that loo
 digits or signs that stand for letters inside a word. The lexicon (words and word
 beginnings, each with its log odds) and the exception phrases (a match next to a word that
 makes it harmless) come from labelled rows. A document's weights are summed, the strongest
-match of each word counting, normalised by a power of its length and turned into a
-probability by a logistic curve fitted on the same rows.
+match of each word counting; matches beyond the first are counted as well, as a word that is
+harmless now and then seldom comes back. Both are normalised by a power of the length and turned
+into a probability by a logistic curve fitted on the same rows. A lexicon is bounded: the
+``MAX_TERMS`` terms with the most evidence and the ``MAX_PHRASES`` phrases met most often.
 """
 
 from __future__ import annotations
@@ -46,7 +48,6 @@ SIGNS = str.maketrans("013457@$!|", "oieastasii")
 _WORD = re.compile(r"[^\W_]+")
 _DISGUISED = re.compile(r"(?=[\w@$!|]*[^\W\d_])(?=[\w@$!|]*[0134578@$!|][^\W_])[\w@$!|]*[^\W_]")
 _MAYBE = re.compile(r"[013457@$!|][^\W\d_]|[^\W\d_][013457@$|]")
-_BEFORE, _AFTER = re.compile(r"([^\W_]+)[\W_]+$"), re.compile(r"^[\W_]+([^\W_]+)")
 
 
 def fold(text: str) -> str:
@@ -70,6 +71,7 @@ class Lexicon:
     power: float = 0.0
     bias: float = -4.0
     slope: float = 1.0
+    repeat: float = 0.0
 
     def automaton(self):
         """The matcher, or None for an empty lexicon; built once per worker."""
@@ -105,11 +107,23 @@ class Lexicon:
 
     def around(self, folded: str, a: int, b: int) -> list[str]:
         """The phrases of a matched word with its neighbours."""
-        word, out = folded[a:b], []
-        if m := _BEFORE.search(folded[max(0, a - 40):a]):
-            out.append(f"{m[1]} {word}")
-        if m := _AFTER.search(folded[b:b + 40]):
-            out.append(f"{word} {m[1]}")
+        word, out, n = folded[a:b], [], len(folded)
+        last = a
+        while last and not folded[last - 1].isalnum():
+            last -= 1
+        first = last
+        while first and folded[first - 1].isalnum():
+            first -= 1
+        if first < last:
+            out.append(f"{folded[first:last]} {word}")
+        first = b
+        while first < n and not folded[first].isalnum():
+            first += 1
+        last = first
+        while last < n and folded[last].isalnum():
+            last += 1
+        if first < last:
+            out.append(f"{word} {folded[first:last]}")
         return out
 
     def weigh(self, text: str, automaton) -> tuple[float, int, int]:
@@ -122,8 +136,8 @@ class Lexicon:
             total, n = total + weight, n + 1
         return total, n, len(text.split())
 
-    def score(self, total: float, words: int) -> float:
-        x = self.bias + self.slope * total / max(1, words) ** self.power
+    def score(self, total: float, matches: int, words: int) -> float:
+        x = self.bias + (self.slope * total + self.repeat * max(0, matches - 1)) / max(1, words) ** self.power
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
@@ -151,15 +165,16 @@ def _counted(sample: DataFrame, features) -> DataFrame:
     return parts.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def _curve(y: np.ndarray, x: np.ndarray) -> tuple[float, float, float]:
-    """Bias, slope and loss of a logistic curve, slightly regularised, by Newton steps."""
-    design, w = np.stack([np.ones_like(x), x], 1), np.zeros(2)
+def _curve(y: np.ndarray, *inputs: np.ndarray) -> tuple[float, ...]:
+    """Bias, slopes and loss of a logistic curve, slightly regularised, by Newton steps."""
+    design = np.stack([np.ones_like(inputs[0]), *inputs], 1)
+    w, ridge = np.zeros(design.shape[1]), 0.01 * np.eye(design.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
         gradient = design.T @ (p - y) + 0.01 * w
-        w = w - np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + 0.01 * np.eye(2), gradient)
+        w = w - np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + ridge, gradient)
     p = np.clip(1 / (1 + np.exp(-np.clip(design @ w, -30, 30))), 1e-9, 1 - 1e-9)
-    return float(w[0]), float(w[1]), float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).sum())
+    return *map(float, w), float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).sum())
 
 
 def bar(tested: int) -> float:
@@ -190,10 +205,11 @@ def learn(sample: DataFrame) -> Lexicon:
 
     harmless = _counted(sample, phrases).where((F.col("neg") >= 3) & (F.col("neg") > 9 * F.col("pos")))
     lexicon.phrases = {r.term for r in harmless.orderBy(F.desc("neg"), "term").limit(MAX_PHRASES).collect()}
-    weighed = _weighed(sample.select("d", "t", "y"), lexicon, "y int").select("y", "total", "words").toPandas()
-    y = weighed["y"].to_numpy(float)
-    fits = [(*_curve(y, weighed["total"].to_numpy(float) / np.maximum(1, weighed["words"]) ** p), p) for p in POWERS]
-    lexicon.bias, lexicon.slope, _, lexicon.power = min(fits, key=lambda f: f[2])
+    weighed = _weighed(sample.select("d", "t", "y"), lexicon, "y int").select("y", "total", "matches", "words").toPandas()
+    y, total = weighed["y"].to_numpy(float), weighed["total"].to_numpy(float)
+    more, words = np.maximum(0.0, weighed["matches"].to_numpy(float) - 1), np.maximum(1, weighed["words"].to_numpy(float))
+    fits = [(*_curve(y, total / words**p, more / words**p), p) for p in POWERS]
+    lexicon.bias, lexicon.slope, lexicon.repeat, _, lexicon.power = min(fits, key=lambda f: f[3])
     return lexicon
 
 
@@ -216,7 +232,7 @@ def _weighed(rows: DataFrame, lexicon: Lexicon, extra: str = "") -> DataFrame:
             got = [lexicon.weigh(t, automaton) for t in frame["t"]]
             out = frame[["d", *kept]].copy()
             out["total"], out["matches"], out["words"] = [[g[k] for g in got] for k in range(3)]
-            out["score"] = [lexicon.score(g[0], g[2]) for g in got]
+            out["score"] = [lexicon.score(*g) for g in got]
             yield out
 
     fields = ", ".join([f"d {rows.schema['d'].dataType.simpleString()}", *([extra] if extra else [])])

@@ -1,6 +1,7 @@
 """Sharding, packing, token files, the two classifiers and page extraction."""
 
 import random
+import re
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -9,6 +10,8 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from odolake.llm import (
@@ -271,6 +274,97 @@ def test_the_bar_rises_with_the_terms_tested_only():
     assert toxicity.MIN_EVIDENCE < toxicity.bar(10**6) < toxicity.bar(10**7) < 42
 
 
+def plain_hits(lexicon, folded):
+    """Every maximal run of letters and digits against every term."""
+    found = {}
+    for m in re.finditer(r"[^\W_]+", folded):
+        weights = [w for t, w in lexicon.words.items() if t == m[0]]
+        weights += [w for t, w in lexicon.beginnings.items() if m[0].startswith(t)]
+        if weights and max(weights) > 0:
+            found[m.start()] = (max(weights), m.end())
+    return found
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="abc_ .é1", max_size=60), st.dictionaries(st.text("abcé", min_size=1, max_size=4), st.floats(0.1, 9), max_size=8),
+       st.dictionaries(st.text("abc", min_size=1, max_size=3), st.floats(0.1, 9), max_size=8))
+def test_matches_and_neighbours_equal_a_plain_scan(text, words, beginnings):
+    lexicon = toxicity.Lexicon(words, beginnings)
+    found = lexicon.hits(text, lexicon.automaton())
+    assert found == plain_hits(lexicon, text)
+    runs = [m.span() for m in re.finditer(r"[^\W_]+", text)]
+    for a, (_, b) in found.items():
+        k = runs.index((a, b))
+        before = [f"{text[slice(*runs[k - 1])]} {text[a:b]}"] if k else []
+        after = [f"{text[a:b]} {text[slice(*runs[k + 1])]}"] if k + 1 < len(runs) else []
+        assert lexicon.around(text, a, b) == before + after
+
+
+def test_a_neighbour_far_away_or_long_is_seen_whole():
+    text = "saint" * 20 + " " * 100 + "dolt" + "-" * 100 + "x" * 70
+    assert toxicity.Lexicon({"dolt": 1.0}, {}).around(text, 200, 204) == ["saint" * 20 + " dolt", "dolt " + "x" * 70]
+
+
+def test_repeated_matches_count_beyond_their_weights(spark):
+    """A word met once is harmless in most texts and toxic where it comes back."""
+    rows = [(k, " ".join(["plain"] * 30 + ["dolt"] * (4 if k % 8 == 0 else k % 4 == 1)), int(k % 8 == 0)) for k in range(800)]
+    lexicon = toxicity.learn(spark.createDataFrame(rows, "d BIGINT, t STRING, y INT"))
+    once, often = (lexicon.score(*lexicon.weigh(" ".join(["plain"] * 30 + ["dolt"] * n), lexicon.automaton())) for n in (1, 4))
+    assert once < 0.1 and often > 0.9
+
+
+def test_the_terms_with_the_most_evidence_stay_at_the_bound(spark, monkeypatch):
+    rows = [(k, f"plain words {'dolt dolt' if k % 9 == 0 else ''} {'oaf' if k % 18 == 0 else ''}", int(k % 9 == 0)) for k in range(900)]
+    sample = spark.createDataFrame(rows, "d BIGINT, t STRING, y INT")
+    assert {"dolt", "oaf"} <= set(toxicity.learn(sample).words)
+    monkeypatch.setattr(toxicity, "MAX_TERMS", 1)
+    few = toxicity.learn(sample)
+    assert {*few.words, *few.beginnings} == {"dolt"}
+
+
+def dual_solver(x, y, epochs=3000):
+    """Hinge loss with a ridge, by projected gradient on the dual with dense matrices."""
+    s = np.where(y > 0, 1.0, -1.0)
+    q = (x * s[:, None]) @ (x * s[:, None]).T
+    alpha, step = np.zeros(len(y)), 1 / np.linalg.eigvalsh(q)[-1]
+    for _ in range(epochs):
+        alpha = np.clip(alpha - step * (q @ alpha - 1), 0, quality_classifier.COST)
+    return (x * s[:, None]).T @ alpha
+
+
+def test_support_vectors_equal_a_dense_solver(monkeypatch):
+    monkeypatch.setattr(quality_classifier, "BITS", 6)
+    monkeypatch.setattr(quality_classifier, "EPOCHS", 400)
+    r = np.random.default_rng(4)
+    y = (np.arange(60) % 3 == 0).astype(int)
+    rows = [np.sort(r.choice(64, size=r.integers(1, 20), replace=False)).astype(np.int32) for _ in y]
+    pos, neg = np.full(64, quality_classifier.SMOOTHING), np.full(64, quality_classifier.SMOOTHING)
+    for row, label in zip(rows, y):
+        (pos if label else neg)[row] += 1
+    ratio = np.log(pos / pos.sum()) - np.log(neg / neg.sum())
+    dense = np.zeros((len(y), 64))
+    for k, row in enumerate(rows):
+        dense[k, row] = ratio[row] / np.sqrt(len(row))
+    got = quality_classifier.fit(rows, y)
+    want = dual_solver(dense, y) * ratio
+    np.testing.assert_allclose(got, want, atol=2e-2 * np.abs(want).max())
+
+
+def test_ties_of_labels_and_clashing_columns(spark):
+    """Equal texts with both labels, and columns named like the operators' own, change nothing and fail nowhere."""
+    rows = [(k, "alpha beta gamma " + ("dolt" if k % 4 == 0 else "kind")) for k in range(200)]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(k, int(k % 8 == 0), int(k % 8 == 0)) for k in range(200)],
+                                   "doc_id BIGINT, toxic INT, quality INT")
+    named = docs
+    for extra in ("d", "t", "y", "term", "score", "total", "words", "held_out", "block", "toxic", "quality"):
+        named = named.withColumn(extra, toxicity.F.lit(3))
+    for module in (toxicity, quality_classifier):
+        plain = {tuple(x) for x in module.score(docs, labels).collect()}
+        assert {tuple(x) for x in module.score(named, labels).collect()} == plain
+        assert len({round(x[2], 9) for x in plain}) <= 2  # equal texts, equal scores
+
+
 def test_folding():
     assert toxicity.fold("1D10T") == "idiot" and toxicity.fold("Ѕtυрid") == "stupid" and toxicity.fold("in 1984") == "in 1984"
 
