@@ -553,6 +553,7 @@ _STORED = f"""bronze_id, vehicle_id, {_ts('event_timestamp')} AS event_timestamp
 
 ORACLES |= {
     "stream_gate": ORACLES["r1_token_bucket"],
+    "stream_alerts_carried": ORACLES["w6_suppressed_alerts"],
     "s2_bronze_append": REC + LIMITED + f""" SELECT v_vehicle_id AS vehicle_id, {_ts('moment')} AS event_timestamp,
         {_ts('received_at')} AS received_at, v_battery_pct AS battery_pct, raw_payload FROM routed WHERE outcome = 'accepted'""",
     "s3_dlq_append": REC + LIMITED + f""" SELECT {_ts('received_at')} AS received_at, raw_payload, reason AS error_reason,

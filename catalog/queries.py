@@ -683,6 +683,18 @@ def stream_online_status(t: Lake) -> DataFrame:
     return jobs.transitions(_drained(t, jobs.status_stream(events, L.ONLINE, "10 minutes"), "status"))
 
 
+@query
+def stream_alerts_carried(t: Lake) -> DataFrame:
+    """Alerts that a store's alert query appends, run lengths and last alerts carried over several micro-batches."""
+    store = Store(t.spark, staging_path(t.spark, "store"))
+    store.create()
+    store.write_batch("gold_vehicle_health", t.stored_gold, 0)
+    scored = _in_batches(t, t.predictions, ["predicted_at", "vehicle_id"], "scores")
+    jobs.alert_query(store, staging_path(t.spark, "alerting"), None, scored, consecutive=2, suppression_hours=L.QUIET_HOURS,
+                     factor=1.2).awaitTermination()
+    return store.read("alerts").drop("id", "acknowledged_at", "acknowledged_by")
+
+
 @query
 def stream_alerts(t: Lake) -> DataFrame:
     path = staging_path(t.spark, "predictions")

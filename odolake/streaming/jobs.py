@@ -6,6 +6,8 @@ after it idle and the ones before it running.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -19,7 +21,7 @@ from odolake.sources.store import Store, with_batch_ids
 from odolake.sources.latest_table import LatestTable
 from odolake.streaming.limiter import CarriedBuckets
 from odolake.streaming.panes import CarriedPanes
-from odolake.streaming.stateful import alert_stream
+from odolake.streaming.suppression import CarriedAlerts
 
 
 class CircuitOpen(RuntimeError):
@@ -198,11 +200,23 @@ def predict_query(store: Store, checkpoint: str, live: forest.Forest, candidate:
     return _start(store.stream("gold_vehicle_health").writeStream.foreachBatch(write), checkpoint, interval)
 
 
-def alert_query(store: Store, checkpoint: str, interval: str | None = "30 seconds", **rules) -> StreamingQuery:
-    """Raise alerts from new production predictions, with the features that stand out most."""
+def alert_query(store: Store, checkpoint: str, interval: str | None = "30 seconds", predictions: DataFrame | None = None,
+                horizon_days: float = 30, **rules) -> StreamingQuery:
+    """Raise alerts from new production predictions, with the features that stand out most.
+
+    Run lengths and last alerts are carried along, one row per vehicle of the last ``horizon_days``; the features come
+    from the health rows of the same time before the micro-batch's oldest alert. ``predictions`` stands
+    for the store's own.
+    """
+    carried = CarriedAlerts(store.spark, f"{checkpoint}/suppression", horizon_days=horizon_days, **rules)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        named = with_causes(batch, store.read("gold_vehicle_health"))
+        raised = pinned(carried.update(batch, batch_id))
+        oldest = raised.agg(F.unix_micros(F.min("created_at")).alias("t")).first().t
+        since = None if oldest is None else (
+            datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=oldest) - timedelta(days=horizon_days))
+        named = with_causes(raised, store.read("gold_vehicle_health", since=since)) if since else raised
         store.write_batch("alerts", with_batch_ids(named, batch_id), batch_id)
 
-    return _start(alert_stream(store.stream("predictions"), **rules).writeStream.foreachBatch(write), checkpoint, interval)
+    source = store.stream("predictions") if predictions is None else predictions
+    return _start(source.writeStream.foreachBatch(write), checkpoint, interval)

@@ -1,4 +1,4 @@
-"""Keyed state for streams: token bucket and alert suppression.
+"""Keyed state for streams: token bucket and alert suppression, as plain DataFrames.
 
 Both keep a few numbers per key in the state store and go through the rows of a key in
 time order within a micro-batch, whose size the source options bound.

@@ -105,3 +105,44 @@ def test_a_rescored_history_gives_the_same_alerts_three_ways(spark, tmp_path):
         stored += [(t, r.vehicle_id, r.first_detected_at, r.run_started_at, r.anomaly_score, r.top_features, "open", None, None,
                     r.created_at) for r in new.collect()]
     assert [round(s[9].replace(tzinfo=timezone.utc).timestamp() - utc) for s in stored] == [30]
+
+
+def test_alerts_carried_over_micro_batches_equal_replay(spark, tmp_path):
+    """A vehicle per sequence, cut into micro-batches, one of which comes twice."""
+    from odolake.streaming.suppression import CarriedAlerts
+
+    history = predictions(spark, [])
+    for k, (rows, _) in enumerate(SEQUENCES):
+        history = history.unionByName(predictions(spark, rows, vehicle=f"VF-{k}"))
+    history = history.unionByName(predictions(spark, [(0, 1, -9.0), (30, 1, -9.0)], mode="shadow", vehicle="VF-1")).cache()
+    carried, got = CarriedAlerts(spark, f"{tmp_path}/memory"), {}
+    cuts = [-1, 0, 60, 60, 100, 5000, 10**6]  # the third and fourth number: a batch without rows
+    for n, (low, high) in enumerate(zip(cuts, cuts[1:])):
+        seconds = "unix_seconds(window_start) - " + str(int(T0.timestamp()))
+        part = history.where(f"{seconds} > {low} AND {seconds} <= {high}")
+        for _ in range(2 if n == 1 else 1):
+            new = [tuple(r) for r in carried.update(part, n).collect()]
+            assert got.setdefault(n, new) == new
+    want = A.replay_alerts(history)
+    assert sorted(r for new in got.values() for r in new) == sorted(tuple(r) for r in want.collect())
+    assert want.count() == sum(len(expected) for _, expected in SEQUENCES)
+
+
+def test_a_vehicle_silent_beyond_the_horizon_starts_anew(spark, tmp_path):
+    from odolake.streaming.suppression import CarriedAlerts
+
+    with pytest.raises(ValueError):
+        CarriedAlerts(spark, f"{tmp_path}/short", suppression_hours=25, horizon_days=1)
+    day = 86_400
+    carried = CarriedAlerts(spark, f"{tmp_path}/memory", suppression_hours=1, horizon_days=1)
+    first = predictions(spark, [(0, 1, -0.1)]).unionByName(predictions(spark, [(0, 1, -0.1)], vehicle="VF-002"))
+    assert carried.update(first, 0).count() == 0
+    # one vehicle's run goes on within the horizon; for the other the run is over
+    second = predictions(spark, [(day, 1, -0.1)]).unionByName(
+        predictions(spark, [(day + 1, 1, -0.1), (day + 2, 0, 0.1)], vehicle="VF-002"))
+    assert [r.vehicle_id for r in carried.update(second, 1).collect()] == ["VF-001"]
+    assert carried.update(predictions(spark, [(3 * day, 0, 0.1)], vehicle="VF-003"), 2).count() == 0
+    assert [r.vehicle_id for r in carried.versions.newest().where("vehicle_id IS NOT NULL").collect()] == ["VF-003"]
+    # too old to be judged
+    assert carried.update(predictions(spark, [(day + 3, 1, -9.0), (day + 4, 1, -9.0)]), 3).count() == 0
+    assert carried.update(first.limit(0), 4).count() == 0
