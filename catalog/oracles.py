@@ -560,6 +560,19 @@ ORACLES |= {
         client_ip FROM routed WHERE outcome = 'rejected_validation'""",
     "s5_silver_batch": WITH + SILVER + f" SELECT {_STORED} FROM silver",
     "s7_gold_append": WITH + GOLD + f" SELECT {_EXACT} FROM gold WHERE gold.window_end <= {AS_OF}",
+    "s7_gold_superseded": WITH + SILVER + """, anchored AS (SELECT DISTINCT vehicle_id, TRUE AS snap FROM silver WHERE bronze_id % 3 = 0
+        AND event_timestamp >= TIMESTAMP '2024-01-19 07:00:00' AND event_timestamp < TIMESTAMP '2024-01-20 07:00:00'),
+      dayed AS (SELECT s.*, COALESCE(snap, FALSE) AS snap, CAST(date_trunc('day', event_timestamp) AS TIMESTAMP) AS day
+        FROM silver s LEFT JOIN anchored USING (vehicle_id)),
+      placed AS (SELECT *, CASE WHEN NOT snap THEN day
+          WHEN event_timestamp >= TIMESTAMP '2024-01-20 07:00:00' THEN greatest(day, TIMESTAMP '2024-01-20 07:00:00')
+          WHEN event_timestamp >= TIMESTAMP '2024-01-19 07:00:00' THEN TIMESTAMP '2024-01-19 07:00:00' ELSE day END AS window_start,
+        CASE WHEN NOT snap OR event_timestamp >= TIMESTAMP '2024-01-20 07:00:00' THEN day + INTERVAL 1 DAY
+          WHEN event_timestamp >= TIMESTAMP '2024-01-19 07:00:00' THEN TIMESTAMP '2024-01-20 07:00:00'
+          ELSE least(day + INTERVAL 1 DAY, TIMESTAMP '2024-01-19 07:00:00') END AS window_end FROM dayed)""" + f"""
+      SELECT vehicle_id, {_ts('window_start')} AS window_start, {_ts('window_end')} AS window_end,
+        {', '.join(f"{_even(f'avg({m})', 2)} AS avg_{m}" for m in ('current_a', 'motor_temp_c', 'speed_kmh'))}, count(*) AS record_count
+      FROM placed GROUP BY vehicle_id, window_start, window_end""",
     "s15_replay": ORACLES["w2_gold_sliding"],
     "e5_store_erasure": WITH + SILVER + ", " + REQUESTS + """, rows_of AS (
         SELECT 'bronze' AS layer, id AS bronze_id, vehicle_id, latitude, longitude, vehicle_id AS raw_payload FROM bronze

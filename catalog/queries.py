@@ -605,6 +605,21 @@ def s7_gold_append(t: Lake) -> DataFrame:
     return store.read("gold_vehicle_health").select(*_EXACT)
 
 
+EARLIER = "2024-01-20 07:00:00"  # off the time grid
+
+
+@query
+def s7_gold_superseded(t: Lake) -> DataFrame:
+    """Current health rows after two cycles, the second with readings that come late into windows of the first."""
+    store = Store(t.spark, staging_path(t.spark, "store"))
+    store.create()
+    first = (F.col("bronze_id") % 3 == 0) & (F.col("event_timestamp") < F.lit(EARLIER).cast("timestamp"))
+    for n, (part, as_of) in enumerate(((first, EARLIER), (~first, L.AS_OF))):
+        store.write_batch("silver_telemetry", t.silver.where(part), n)
+        cycle.aggregate_batch(store, n, datetime.fromisoformat(as_of), L.WINDOW, L.LOOKBACK, L.UNIT_MINUTES)
+    return store.current("gold_vehicle_health").select(*_EXACT)
+
+
 @query
 def s15_replay(t: Lake) -> DataFrame:
     _, gold = cycle.replay(t.bronze, t.vehicles, slide_seconds=L.WINDOW, lookback_seconds=L.LOOKBACK, unit_minutes=L.UNIT_MINUTES)

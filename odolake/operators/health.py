@@ -34,6 +34,25 @@ def gold_columns(start: Column, end: Column, aggregated_at: Column) -> list[Colu
     ]
 
 
+def _parts(inside: Column) -> list[Column]:
+    """Aggregates of the readings of a look-back: means and number of those ``inside``, and the ends of them all."""
+    moment = F.struct("event_timestamp", "bronze_id")
+    return [
+        *[F.avg(F.when(inside, F.col(m))).alias(f"_m_{m}") for m in AVERAGED],
+        F.count_if(inside).alias("record_count"),
+        F.min_by("battery_pct", moment).alias("_oldest"),
+        F.max_by("battery_pct", moment).alias("_newest"),
+        F.min("event_timestamp").alias("_first"),
+        F.max("event_timestamp").alias("_last"),
+    ]
+
+
+def _with_rate(grouped: DataFrame, unit_minutes: float) -> DataFrame:
+    """Windows with a reading inside, with their discharge rate."""
+    rate = discharge_rate(F.col("_oldest"), F.col("_newest"), F.col("_first"), F.col("_last"), unit_minutes)
+    return grouped.where(F.col("record_count") > 0).withColumn("_rate", rate)
+
+
 def gold_snapshot(
     silver: DataFrame, as_of, window_seconds: float = 30, lookback_seconds: float = 300,
     unit_minutes: float = 1.0, include_erased: bool = False,
@@ -45,23 +64,9 @@ def gold_snapshot(
     """
     now = instant(as_of)
     start = now - seconds(window_seconds)
-    inside = F.col("event_timestamp") >= start
-    moment = F.struct("event_timestamp", "bronze_id")
     recent = _living(silver, include_erased).where(F.col("event_timestamp") >= now - seconds(lookback_seconds))
-    grouped = (
-        recent.groupBy("vehicle_id")
-        .agg(
-            *[F.avg(F.when(inside, F.col(m))).alias(f"_m_{m}") for m in AVERAGED],
-            F.count_if(inside).alias("record_count"),
-            F.min_by("battery_pct", moment).alias("_oldest"),
-            F.max_by("battery_pct", moment).alias("_newest"),
-            F.min("event_timestamp").alias("_first"),
-            F.max("event_timestamp").alias("_last"),
-        )
-        .where(F.col("record_count") > 0)
-    )
-    rate = discharge_rate(F.col("_oldest"), F.col("_newest"), F.col("_first"), F.col("_last"), unit_minutes)
-    return grouped.withColumn("_rate", rate).select(*gold_columns(start, now, now))
+    grouped = _with_rate(recent.groupBy("vehicle_id").agg(*_parts(F.col("event_timestamp") >= start)), unit_minutes)
+    return grouped.select(*gold_columns(start, now, now))
 
 
 def gold_sliding(
@@ -99,6 +104,62 @@ def gold_sliding(
     return seen.withColumn("_rate", rate).select(*gold_columns(start, end, end))
 
 
+def _cell(micros: Column, width: int) -> Column:
+    """Start of the grid cell that a time in microseconds falls into."""
+    return micros - F.pmod(micros, F.lit(width))
+
+
+def _cells(start: Column, end: Column, width: int) -> Column:
+    """Starts of the grid cells that ``[start, end)`` touches."""
+    return F.sequence(_cell(start, width), _cell(end - 1, width), F.lit(width))
+
+
+def windows_hit(late: DataFrame, known: DataFrame, window_seconds: int, lookback_seconds: float) -> DataFrame:
+    """``vehicle_id, s, e`` (microseconds): the windows that late readings change or open, each once.
+
+    ``known`` are the windows that exist (``vehicle_id, window_start, window_end``). A reading changes those whose
+    look-back it falls into. If it lies inside none, it opens the part of its grid window that no known window
+    covers, so windows opened here never overlap another one of the vehicle and no reading is counted twice.
+    Both sides meet by vehicle and grid window, where a vehicle has a bounded number of look-backs, so a hot vehicle is
+    spread over its history.
+    """
+    width, back = window_seconds * MICROS, round(lookback_seconds * MICROS)
+    span = F.struct(F.unix_micros("window_start").alias("s"), F.unix_micros("window_end").alias("e"))
+    since = F.least(F.col("k.s"), F.col("k.e") - F.lit(back))
+    taken = known.select("vehicle_id", span.alias("k")).distinct().where("k.s < k.e").select(
+        "vehicle_id", "k", F.explode(_cells(since, F.col("k.e"), width)).alias("cell")
+    ).groupBy("vehicle_id", "cell").agg(F.collect_list("k").alias("taken"))
+    at, cell = F.col("at"), F.col("cell")
+    readings = late.select("vehicle_id", F.unix_micros("event_timestamp").alias("at")).distinct()
+    met = readings.withColumn("cell", _cell(at, width)).join(taken, ["vehicle_id", "cell"], "left").withColumn(
+        "taken", F.coalesce("taken", F.array().cast(taken.schema["taken"].dataType)))
+    changed = F.filter("taken", lambda k: (F.least(k["s"], k["e"] - F.lit(back)) <= at) & (at < k["e"]))
+    inside = F.exists("taken", lambda k: (k["s"] <= at) & (at < k["e"]))
+    # greatest and least pass over what is null
+    begin = F.greatest(cell, F.array_max(F.transform(F.filter("taken", lambda k: k["e"] <= at), lambda k: k["e"])))
+    end = F.least(cell + F.lit(width), F.array_min(F.transform(F.filter("taken", lambda k: k["s"] > at), lambda k: k["s"])))
+    opened = F.array(F.struct(begin.alias("s"), end.alias("e")))
+    return met.select("vehicle_id", F.inline(F.when(inside, changed).otherwise(F.concat(changed, opened)))).distinct()
+
+
+def gold_windows(silver: DataFrame, wanted: DataFrame, cell_seconds: int, lookback_seconds: float,
+                 unit_minutes: float = 1.0) -> DataFrame:
+    """The health rows of given windows ``wanted(vehicle_id, s, e)`` of any bounds, as ``gold_snapshot`` has them.
+
+    A window holds its readings from ``s`` up to, but not including, ``e``. Readings meet windows by vehicle and grid
+    cell and are combined before the shuffle; only readings of cells that a wanted look-back touches are copied.
+    """
+    width, back = cell_seconds * MICROS, round(lookback_seconds * MICROS)
+    since = F.least(F.col("s"), F.col("e") - F.lit(back))
+    asked = wanted.select("vehicle_id", "s", "e", since.alias("since"), F.explode(_cells(since, F.col("e"), width)).alias("cell"))
+    at = F.unix_micros("event_timestamp")
+    met = silver.withColumn("cell", _cell(at, width)).join(asked, ["vehicle_id", "cell"]).where(
+        (at >= F.col("since")) & (at < F.col("e")))
+    grouped = _with_rate(met.groupBy("vehicle_id", "s", "e").agg(*_parts(at >= F.col("s"))), unit_minutes)
+    start, end = F.timestamp_micros("s"), F.timestamp_micros("e")
+    return grouped.select(*gold_columns(start, end, end))
+
+
 def rolling_rate(
     silver: DataFrame, lookback_seconds: int = 300, unit_minutes: float = 1.0,
     bucket_seconds: int | None = None,

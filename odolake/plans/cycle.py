@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odolake import schemas as S
-from odolake.functions.timing import instant
+from odolake.functions.timing import MICROS, instant
 from odolake.operators import alerting, cleaning, drift, forest, health
 from odolake.operators.latest import latest_per_key
-from odolake.session import pinned
+from odolake.session import pinned, staged
 from odolake.sources.store import Store, with_batch_ids
 from odolake.sources.versions import Versions
 
@@ -55,23 +55,35 @@ def aggregate_batch(store: Store, batch_id: int, as_of: datetime, window_seconds
                     lookback_seconds: float = 300, unit_minutes: float = 1.0, cleaned=None) -> DataFrame:
     """Append the health snapshot at ``as_of``, and the earlier windows that the rows of the ``cleaned`` batches fall into.
 
-    The latter are whole windows of the time grid; they keep a backlog from being lost to Gold. By default they are
-    this batch's rows. Only the batches named and the dates from the oldest of their rows on are read.
+    The latter keep a backlog from being lost to Gold. A window that Gold has already is aggregated anew within its
+    bounds if a late row lies in its look-back, and ``Store.current`` gives its newest row; a late row in no window
+    opens what is free of its window of the time grid. So the current rows count no late reading twice. By default the
+    rows are this batch's. Only the batches named and the dates from the oldest of their rows on are read.
     """
     window = timedelta(seconds=window_seconds)
     start = as_of - timedelta(seconds=max(lookback_seconds, window_seconds))
     recent = store.read("silver_telemetry", since=start)
-    gold = health.gold_snapshot(recent, as_of, window_seconds, lookback_seconds, unit_minutes)
+    gold = pinned(health.gold_snapshot(recent, as_of, window_seconds, lookback_seconds, unit_minutes))
     batches = [batch_id] if cleaned is None else cleaned
-    late = store.read("silver_telemetry", batches=batches).where(F.col("event_timestamp") < instant(as_of - window))
+    late = store.read("silver_telemetry", batches=batches).where(
+        (F.col("event_timestamp") < instant(as_of - window)) & (F.col("vehicle_id") != S.ERASED))
     oldest = late.agg(F.unix_micros(F.min("event_timestamp")).alias("t")).first().t
     if oldest is not None:
         begin = datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=oldest)
         rows = store.read("silver_telemetry", since=begin - timedelta(seconds=lookback_seconds + window_seconds))
-        grid = F.window("event_timestamp", f"{int(window_seconds)} seconds")
-        missed = late.select("vehicle_id", grid["start"].alias("window_start")).distinct()
-        slid = health.gold_sliding(rows, int(window_seconds), int(lookback_seconds), unit_minutes)
-        gold = gold.unionByName(slid.join(missed, ["vehicle_id", "window_start"], "left_semi").select(*gold.columns))
+        bounds = ["vehicle_id", "window_start", "window_end"]
+        known = store.read("gold_vehicle_health", since=begin - 2 * window).select(*bounds).unionByName(gold.select(*bounds))
+        slide = int(window_seconds)
+        fresh = gold.select("vehicle_id", F.unix_micros("window_start").alias("s"))  # have all readings already
+        hit = health.windows_hit(late, known, slide, lookback_seconds).join(fresh, ["vehicle_id", "s"], "left_anti")
+        hit = staged(hit, "windows-hit")
+        # whole windows of the grid share their panes, so a backlog copies no reading
+        whole = (F.col("s") % (slide * MICROS) == 0) & (F.col("e") - F.col("s") == slide * MICROS)
+        slid = health.gold_sliding(rows, slide, int(lookback_seconds), unit_minutes)
+        on_grid = hit.where(whole).select("vehicle_id", F.timestamp_micros("s").alias("window_start"))
+        odd = health.gold_windows(rows, hit.where(~whole), slide, lookback_seconds, unit_minutes)
+        gold = gold.unionByName(
+            slid.join(on_grid, ["vehicle_id", "window_start"], "left_semi").select(*gold.columns)).unionByName(odd)
     gold = pinned(gold)
     store.write_batch("gold_vehicle_health", gold, batch_id)
     return gold
@@ -80,7 +92,7 @@ def aggregate_batch(store: Store, batch_id: int, as_of: datetime, window_seconds
 def score_batch(store: Store, batch_id: int, as_of, live: forest.Forest,
                 candidate: forest.Forest | None = None) -> DataFrame:
     """Score the newest health row of every vehicle, with the candidate in shadow mode if given."""
-    gold = store.read("gold_vehicle_health", since=_horizon(as_of)).where(F.col("vehicle_id") != S.ERASED)
+    gold = store.current("gold_vehicle_health", since=_horizon(as_of))
     newest = latest_per_key(gold, "vehicle_id", "aggregated_at")
     rows = forest.predictions(newest, live, "production", as_of)
     if candidate is not None:
@@ -95,7 +107,7 @@ def alert_batch(store: Store, batch_id: int, as_of, **rules) -> DataFrame:
     since = _horizon(as_of)
     new = alerting.raise_alerts(
         store.read("predictions", since=since), store.read("alerts", since=since),
-        store.read("gold_vehicle_health", since=since), as_of, **rules)
+        store.current("gold_vehicle_health", since=since), as_of, **rules)
     numbered = pinned(with_batch_ids(new, batch_id))
     store.write_batch("alerts", numbered, batch_id)
     return numbered
@@ -106,7 +118,7 @@ def stored_model(store: Store, name: str, as_of, refit: bool, seed: int, **model
     path = f"{store.root}/_models/{name}"
     found = None if refit or not store._exists("_models", name, "models") else forest.load_forest(store.spark, path, as_of)
     if found is None:
-        history = store.read("gold_vehicle_health", since=_horizon(as_of))
+        history = store.current("gold_vehicle_health", since=_horizon(as_of))
         found = forest.fit_forest(history, as_of, seed=seed, **model)
         if found is not None:
             forest.save_forest(store.spark, found, path, as_of)

@@ -129,6 +129,9 @@ ERASURE_LOG = _struct(
     "prediction_count BIGINT, alert_count BIGINT, requested_by STRING, erased_at TIMESTAMP"
 )
 
+# table name -> key, of tables where a row of a later batch supersedes those of the same key
+SUPERSEDED_BY = {"gold_vehicle_health": ("vehicle_id", "window_start")}
+
 # table name -> (schema, time column whose date partitions the table, if any)
 TABLES = {
     "vehicle_metadata": (VEHICLE_METADATA, None),

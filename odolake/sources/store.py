@@ -72,8 +72,7 @@ class Store:
             folder, files = self._folder(name)
             files.mkdirs(folder)
 
-    def read(self, name: str, since=None, batches=None) -> DataFrame:
-        """A table; with ``since`` only rows from then on, pruned by date and pushed to the scan; of some batches only."""
+    def _scan(self, name: str, since=None, batches=None) -> DataFrame:
         layout, time = self._layout(name)
         df = self.spark.read.schema(layout).parquet(self.path(name))
         if batches is not None:
@@ -81,7 +80,22 @@ class Store:
         if since is not None and time:
             start = instant(since)
             df = df.where((F.col("event_date") >= F.to_date(start)) & (F.col(time) >= start))
-        return df.select(*S.TABLES[name][0].names)
+        return df
+
+    def read(self, name: str, since=None, batches=None) -> DataFrame:
+        """A table; with ``since`` only rows from then on, pruned by date and pushed to the scan; of some batches only."""
+        return self._scan(name, since, batches).select(*S.TABLES[name][0].names)
+
+    def current(self, name: str, since=None) -> DataFrame:
+        """A table in which later batches supersede rows of the same key: the newest row of every key, in one shuffle.
+
+        Erased rows have lost their key and are left out.
+        """
+        names, key = S.TABLES[name][0].names, S.SUPERSEDED_BY[name]
+        living = self._scan(name, since).where(F.col("vehicle_id") != S.ERASED)
+        rest = F.struct(*[n for n in names if n not in key])
+        newest = living.groupBy(*key).agg(F.max_by(rest, "batch_id").alias("_row"))
+        return newest.select(*key, "_row.*").select(*names)
 
     def stream(self, name: str, **options: str) -> DataFrame:
         """The table as a stream of its new files."""

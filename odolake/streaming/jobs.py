@@ -215,7 +215,7 @@ def alert_query(store: Store, checkpoint: str, interval: str | None = "30 second
         oldest = raised.agg(F.unix_micros(F.min("created_at")).alias("t")).first().t
         since = None if oldest is None else (
             datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=oldest) - timedelta(days=horizon_days))
-        named = with_causes(raised, store.read("gold_vehicle_health", since=since)) if since else raised
+        named = with_causes(raised, store.current("gold_vehicle_health", since=since)) if since else raised
         store.write_batch("alerts", with_batch_ids(named, batch_id), batch_id)
 
     source = store.stream("predictions") if predictions is None else predictions

@@ -1,5 +1,6 @@
 import json
-from datetime import timedelta
+import random
+from datetime import timedelta, timezone
 
 import pytest
 from conftest import NOW, ago, bronze_rows, ended, silver_rows, vehicle_rows
@@ -133,6 +134,37 @@ def test_a_backlog_reaches_gold(spark, store):
     assert gold.dropDuplicates(["vehicle_id", "window_start"]).count() == gold.count()
 
 
+def test_late_readings_supersede_their_window_and_none_counts_twice(spark, store):
+    """Cycles off the grid, the first with two thirds of the readings: the rest comes late, into windows and beside them."""
+    rng = random.Random(5)
+    first, second = NOW - timedelta(seconds=77), NOW
+    rows = [(i, f"VF-{i % 2 + 1:03d}", first - timedelta(seconds=rng.randrange(1, 400), milliseconds=500), 20.0 + i % 50)
+            for i in range(1, 240)]
+    rows += [(i, "VF-001", second - timedelta(seconds=rng.randrange(1, 77), milliseconds=250), 55.0) for i in range(240, 270)]
+    early = [r for r in rows if r[0] % 3 and r[2] < first]
+    late = [r for r in rows if r not in early]
+    shape = {"window_seconds": 30, "lookback_seconds": 120}
+    for n, (part, as_of) in enumerate(((early, first), (late, second), ([], second + timedelta(seconds=30))), 1):
+        store.write_batch("silver_telemetry", silver_rows(spark, part) if part else store.read("silver_telemetry").limit(0), n)
+        cycle.aggregate_batch(store, n, as_of, **shape)
+    current = store.current("gold_vehicle_health")
+    assert store.read("gold_vehicle_health").count() > current.count()
+    found = current.orderBy("vehicle_id", "window_start").collect()
+    assert sum(r.record_count for r in found) == len(rows)
+    for a, b in zip(found, found[1:]):
+        assert a.vehicle_id != b.vehicle_id or a.window_end <= b.window_start
+    for r in found:
+        ours = [x for x in rows if x[1] == r.vehicle_id]
+        utc = lambda t: t.astimezone().replace(tzinfo=timezone.utc) if t.tzinfo is None else t
+        start, end = utc(r.window_start), utc(r.window_end)
+        inside = [x[3] for x in ours if start <= x[2] < end]
+        assert r.record_count == len(inside) and abs(r.avg_battery_pct - sum(inside) / len(inside)) < 0.006
+        seen = sorted((x[2], x[0], x[3]) for x in ours if end - timedelta(seconds=120) <= x[2] < end)
+        minutes = (seen[-1][0] - seen[0][0]).total_seconds() / 60
+        rate = (seen[0][2] - seen[-1][2]) / minutes if minutes else 0.0
+        assert abs(r.rolling_5min_discharge_rate - rate) < 1e-3
+
+
 def test_a_failing_stage_is_named_and_does_not_stop_the_others(spark, store, monkeypatch):
     gold = spark.range(40).select(
         F.format_string("VF-%03d", F.col("id") % 2 + 1).alias("vehicle_id"),
