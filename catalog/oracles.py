@@ -573,6 +573,14 @@ ORACLES |= {
       SELECT vehicle_id, {_ts('window_start')} AS window_start, {_ts('window_end')} AS window_end,
         {', '.join(f"{_even(f'avg({m})', 2)} AS avg_{m}" for m in ('current_a', 'motor_temp_c', 'speed_kmh'))}, count(*) AS record_count
       FROM placed GROUP BY vehicle_id, window_start, window_end""",
+    "m6_newest_scored": WITH + GOLD + f""" SELECT vehicle_id, {_ts('max(window_start)')} AS window_start, mode, 'v1.0' AS model_version,
+        {_ts(AS_OF)} AS predicted_at, 1 AS scored, 1 AS labelled
+        FROM gold, (SELECT unnest(['production', 'shadow']) AS mode) m WHERE window_end <= {AS_OF} GROUP BY vehicle_id, mode""",
+    "m9_cycle": WITH + GOLD + f""", read AS (SELECT count(*) AS n, count(*) FILTER (skip_reason IS NOT NULL) AS bad, max(id) AS last
+        FROM assessed), made AS (SELECT count(*) AS windows, count(DISTINCT vehicle_id) AS vehicles FROM gold WHERE window_end <= {AS_OF})
+        SELECT 0 AS errors, 0 AS circuit_open, n AS records_read, n - bad AS records_written, bad AS records_failed, last AS watermark,
+          windows AS gold_rows, 2 * vehicles AS predictions_written, 1 AS counts_agree, 0 AS alerts_raised FROM read, made""",
+    "s9_alert_append": ORACLES["m10_cycle_alerts"],
     "s15_replay": ORACLES["w2_gold_sliding"],
     "e5_store_erasure": WITH + SILVER + ", " + REQUESTS + """, rows_of AS (
         SELECT 'bronze' AS layer, id AS bronze_id, vehicle_id, latitude, longitude, vehicle_id AS raw_payload FROM bronze

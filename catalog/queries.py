@@ -620,6 +620,57 @@ def s7_gold_superseded(t: Lake) -> DataFrame:
     return store.current("gold_vehicle_health").select(*_EXACT)
 
 
+def _cycled(t: Lake) -> tuple[Store, dict]:
+    """A store after one whole cycle over all readings, and the cycle's summary."""
+    store = Store(t.spark, staging_path(t.spark, "store"))
+    store.create()
+    store.seed_vehicles(t.vehicles, 0)
+    store.write_batch("bronze_telemetry", t.bronze.withColumn("raw_payload", F.col("vehicle_id")), 0)
+    shape = {"window_seconds": L.WINDOW, "lookback_seconds": L.LOOKBACK, "unit_minutes": L.UNIT_MINUTES}
+    return store, cycle.run_cycle(store, 0, datetime.fromisoformat(L.AS_OF), gold=shape,
+                                  alert={"suppression_hours": L.QUIET_HOURS})
+
+
+@query
+def m6_newest_scored(t: Lake) -> DataFrame:
+    """What a cycle predicts: the newest health row of every vehicle, by both models, labelled by the sign of its score."""
+    score, bad = F.col("anomaly_score"), F.col("is_anomaly")
+    return _cycled(t)[0].read("predictions").select(
+        "vehicle_id", "window_start", "mode", "model_version", "predicted_at",
+        score.between(-1, 1).alias("scored"), (F.when(score < 0, bad).when(score > 0, ~bad).otherwise(True)).alias("labelled"))
+
+
+@query
+def m9_cycle(t: Lake) -> DataFrame:
+    """One row on a whole cycle: what each stage read and wrote, and whether its summary agrees with the store."""
+    store, summary = _cycled(t)
+    stored = store.read("predictions")
+    flagged = stored.where("is_anomaly AND mode = 'production'")
+    # a vehicle has one prediction yet, so none has a run of two
+    counts = {
+        "errors": len(summary["errors"]), "circuit_open": int(summary["circuit_open"]),
+        **{name: summary[name] for name in ("records_read", "records_written", "records_failed", "watermark")},
+        "gold_rows": store.read("gold_vehicle_health").count(), "predictions_written": summary["predictions_written"],
+        "counts_agree": int(stored.count() == summary["predictions_written"] and flagged.count() == summary["anomalies_detected"]),
+        "alerts_raised": summary["alerts_raised"],
+    }
+    return t.spark.range(1).select(*[F.lit(v).cast("bigint").alias(name) for name, v in counts.items()])
+
+
+@query
+def s9_alert_append(t: Lake) -> DataFrame:
+    """The alerts a store's cycle appends, given stored predictions, health rows and earlier alerts."""
+    store = Store(t.spark, staging_path(t.spark, "store"))
+    store.create()
+    store.write_batch("gold_vehicle_health", t.stored_gold, 0)
+    store.write_batch("predictions", t.predictions, 0)
+    earlier = t.alerts.where(F.col("created_at") < F.lit(L.AS_OF).cast("timestamp"))
+    store.write_batch("alerts", earlier.withColumn("id", F.unix_micros("created_at")), 0)
+    cycle.alert_batch(store, 1, datetime.fromisoformat(L.AS_OF), consecutive=2, suppression_hours=L.QUIET_HOURS, factor=1.2)
+    new = store.read("alerts", batches=[1])
+    return new.select("vehicle_id", "first_detected_at", "anomaly_score", "top_features", "created_at")
+
+
 @query
 def s15_replay(t: Lake) -> DataFrame:
     _, gold = cycle.replay(t.bronze, t.vehicles, slide_seconds=L.WINDOW, lookback_seconds=L.LOOKBACK, unit_minutes=L.UNIT_MINUTES)
