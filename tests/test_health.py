@@ -14,15 +14,15 @@ def snapshot(spark, rows, **kw):
     return {r.vehicle_id: r for r in got}
 
 
-@pytest.mark.parametrize("rows,rate,score", [
-    ([("VF-001", ago(seconds=0), 90.0, {"motor_temp_c": 38.0})], 0.0, 87.2),  # 87.25, ties to even
-    ([("VF-001", ago(minutes=m), b, {"motor_temp_c": 40.0}) for m, b in ((2, 78.0), (1, 79.0), (0, 80.0))], -1.0, 89.5),
-    ([("VF-001", ago(minutes=m), b, {"motor_temp_c": 70.0}) for m, b in ((2, 58.0), (1, 59.0), (0, 60.0))], -1.0, 70.3),
-    ([("VF-001", ago(seconds=1), 100.0, {"motor_temp_c": 20.0})], 0.0, 91.2),
-    ([("VF-001", ago(minutes=m), b, {"motor_temp_c": 120.0}) for m, b in ((5, 50.0), (0, 40.0))], 2.0, 29.2),
+@pytest.mark.parametrize("rows,rate,score", [  # 333 V are worth 8.25 points
+    ([("VF-001", ago(seconds=0), 90.0, {"motor_temp_c": 38.0})], 0.0, 84.2),  # 36 + 30 + 8.25 + 10, ties to even
+    ([("VF-001", ago(minutes=m), b, {"motor_temp_c": 40.0}) for m, b in ((2, 78.0), (1, 79.0), (0, 80.0))], -1.0, 86.5),
+    ([("VF-001", ago(minutes=m), b, {"motor_temp_c": 70.0}) for m, b in ((2, 58.0), (1, 59.0), (0, 60.0))], -1.0, 67.3),
+    ([("VF-001", ago(seconds=1), 100.0, {"motor_temp_c": 20.0})], 0.0, 88.2),
+    ([("VF-001", ago(minutes=m), b, {"motor_temp_c": 120.0}) for m, b in ((5, 50.0), (0, 40.0))], 2.0, 26.2),  # 18 + 0 + 8.25 + 0
 ])
 def test_hand_computed_rows(spark, rows, rate, score):
-    row = snapshot(spark, rows)["VF-001"]
+    row = snapshot(spark, [(v, at, battery, {**more, "voltage_v": 333.0}) for v, at, battery, more in rows])["VF-001"]
     assert (row.rolling_5min_discharge_rate, row.health_score, row.record_count) == (rate, score, len(rows))
 
 
