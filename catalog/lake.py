@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from odolake.functions.numeric import round_half_even
 from odolake.operators import alerting, cleaning, health, ingest, rate_limit, validation
-from odolake.session import configure, staged
+from odolake.session import configure, spread, staged
 from catalog import telemetry
 
 # Time parameters stretched to the density of the events (about two per vehicle and day).
@@ -26,12 +26,6 @@ QUIET_HOURS = 96
 PRODUCTION_CUT, SHADOW_CUT = 80.0, 76.0
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a file too small for one split per core, dealt out before costly work; larger inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 class Lake:
     """Layers of one data directory; each is a plain DataFrame, built when first asked for."""
 
@@ -48,7 +42,8 @@ class Lake:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return telemetry.raw_events(spread(self.bronze))
+        """Raw events of evenly dealt readings, as building and checking them is costly."""
+        return telemetry.raw_events(telemetry.readings(spread(telemetry.table(self.spark, self.sf_dir, "events"), "event_id")))
 
     @cached_property
     def inspected(self) -> DataFrame:
@@ -60,11 +55,12 @@ class Lake:
 
     @cached_property
     def limited(self) -> DataFrame:
-        """Routed with the rate limiter in its place between the entry and the field checks.
+        """Outcomes with the rate limiter in its place between the entry and the field checks.
 
-        The parsed events are written once, as both the limiter and the routing read them.
+        What the limiter and the routing ask of the parsed events is written once, as both read it; payloads and
+        fields are of no use to an outcome and are left out.
         """
-        events = staged(self.inspected, "inspected")
+        events = staged(self.inspected.select("id", "received_at", "limiter_key", "entry_reason", "reason"), "inspected")
         verdicts = rate_limit.token_bucket(events, key="limiter_key", refill_per_second=REFILL)
         refused = verdicts.where(~F.col("allowed"))  # only these travel to their events
         return events.join(refused, "id", "left").withColumn("outcome", ingest.outcome(F.col("allowed")))

@@ -92,6 +92,21 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROWS_PER_TASK = 50_000  # of costly work on single rows: some seconds
+
+
+def spread(df: DataFrame, *keys: str, least: int | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Rows dealt out evenly before costly work, in at least ``least`` tasks (one per core by default).
+
+    A Parquet file is split by its row groups, however many splits Spark plans for its bytes, so a file of few
+    large groups would be read, and worked on, by few tasks. The number of tasks follows the number of
+    rows, which Parquet tells without reading them. With ``keys`` rows go by their hash, else in turns.
+    """
+    least = df.sparkSession.sparkContext.defaultParallelism if least is None else least
+    tasks = max(least, -(-df.count() // rows_per_task))
+    return df.repartition(tasks, *keys) if tasks > 1 else df
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """Reliable checkpoint that keeps partitions and their row order as they are."""
     shared_dir(df.sparkSession)
