@@ -16,7 +16,7 @@ from odolake import schemas as S
 from odolake.functions.timing import seconds
 from odolake.operators import cleaning, forest, health, ingest, validation
 from odolake.operators.alerting import with_causes
-from odolake.session import pinned
+from odolake.session import pinned, spread
 from odolake.sources.store import Store, with_batch_ids
 from odolake.sources.latest_table import LatestTable
 from odolake.streaming.limiter import CarriedBuckets
@@ -50,7 +50,8 @@ def ingest_query(events: DataFrame, store: Store, checkpoint: str, interval: str
                  **rules) -> StreamingQuery:
     """Limit and validate, then write accepted and refused events as two outputs of one micro-batch.
 
-    A payload is parsed once. The limiter sees key, time and number of an event only, and the numbers it
+    A payload is parsed once. Events are numbered as they arrive and then dealt out, as a file of few row groups is
+    read by few tasks. The limiter sees key, time and number of an event only, and the numbers it
     refuses travel back. Events over the limit are dropped, not dead-lettered; ``capacity=None`` switches
     the limiter off.
     """
@@ -58,7 +59,8 @@ def ingest_query(events: DataFrame, store: Store, checkpoint: str, interval: str
         events.sparkSession, f"{checkpoint}/buckets", capacity, refill_per_second, lateness_seconds)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        inspected = pinned(validation.inspect(with_batch_ids(batch, batch_id), **rules))
+        numbered = with_batch_ids(batch, batch_id)
+        inspected = pinned(validation.inspect(spread(numbered, "id"), **rules))
         allowed = None
         if buckets is not None:
             verdicts = buckets.decide(inspected, batch_id, key="limiter_key")

@@ -293,6 +293,23 @@ def test_the_limiter_keeps_its_buckets_between_micro_batches(spark, store, tmp_p
     assert store.read("bronze_dlq").count() == 0
 
 
+def test_one_row_group_of_a_stream_is_inspected_by_many_tasks(spark, store, tmp_path, monkeypatch):
+    """A micro-batch that is read by one task is checked by all, and its events are numbered as they came."""
+    rows = [(changed(vehicle_id="VF-001", speed_kmh=k), NOW + timedelta(seconds=k)) for k in range(100)]
+    spark.createDataFrame(rows, "raw_payload STRING, received_at TIMESTAMP").coalesce(1).write.parquet(str(tmp_path / "inbox"))
+    events = spark.readStream.schema("raw_payload STRING, received_at TIMESTAMP").parquet(str(tmp_path / "inbox"))
+    inspect, sizes = jobs.validation.inspect, []
+
+    def watched(batch, **rules):
+        sizes.extend(r["count"] for r in batch.groupBy(F.spark_partition_id().alias("part")).count().collect())
+        return inspect(batch, **rules)
+
+    monkeypatch.setattr(jobs.validation, "inspect", watched)
+    ended(jobs.ingest_query(events, store, str(tmp_path / "c"), None, capacity=None))
+    assert sum(sizes) == 100 and max(sizes) <= 2 * 100 / spark.sparkContext.defaultParallelism
+    assert [r.speed_kmh for r in store.read("bronze_telemetry").orderBy("id").collect()] == list(range(100))
+
+
 def test_open_breaker_stops_the_stream_or_sets_the_batch_aside(spark, store, tmp_path):
     store.write_batch("bronze_telemetry", bronze_rows(
         spark, [(i, "VF-001", ago(seconds=9), 999.0 if i < 9 else 50.0) for i in range(10)]), 1)
